@@ -1,31 +1,17 @@
-"""Join helpers: when to broadcast, and how to keep hot keys from piling up in one task."""
+"""Join helpers that leave the physical strategy to Catalyst and AQE."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def known_size(df: DataFrame) -> int | None:
-    """Optimizer's size of the plan in bytes; None where the session cannot tell."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast hint only below a checked size; otherwise the join strategy is left to Spark."""
-    size = known_size(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
 def attach(fact: DataFrame, dim: DataFrame, on: str | Column, how: str = "left") -> DataFrame:
-    """Fact-to-dimension join on a unique dimension key: broadcast if small, else shuffled with
-    AQE skew splitting of the fact side."""
-    return fact.join(small_side(dim), on, how)
+    """Fact-to-dimension join on a unique dimension key.
+
+    No hint: Spark broadcasts the dimension while its measured size is below
+    spark.sql.autoBroadcastJoinThreshold, and shuffles otherwise, when AQE splits hot fact keys.
+    """
+    return fact.join(dim, on, how)
 
 
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str | Column, str]]) -> DataFrame:

@@ -213,7 +213,7 @@ def payment_summary(payments: DataFrame) -> DataFrame:
 
 def fact_orders_agg(t: Trusted, dim_customer: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
     per_order = (
-        t.orders.join(payment_summary(t.order_payments), "order_id", "left")
+        t.orders.join(payment_summary(t.order_payments), "order_id", "full")
         .join(dim_customer.select("customer_id", "customer_sk"), "customer_id", "left")
     )
     fact = J.attach(t.order_items, dim_product.select("product_id", "product_sk"), "product_id", "left")
