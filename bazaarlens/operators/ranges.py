@@ -20,16 +20,24 @@ def _key_struct(keys: list[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def _place(key: Column, bounds: Column, low: int, high: int) -> Column:
+    """Number of bounds <= key by binary search; `get` beyond the last bound is NULL and goes left."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    right = key >= F.get(bounds, F.lit(middle))
+    return F.when(right, _place(key, bounds, middle + 1, high)).otherwise(_place(key, bounds, low, middle))
+
+
 def with_range(df: DataFrame, keys: list[str], ranges: int = RANGES) -> DataFrame:
     """Add `_range`, a number that grows with the key, by comparing with sampled bounds."""
-    size = ranges * SAMPLE_PER_RANGE
-    sample = df.select(_key_struct(keys).alias("s")).orderBy(F.xxhash64("s"), "s").limit(size)
+    key = F.col(keys[0]) if len(keys) == 1 else _key_struct(keys)
+    sample = df.select(key.alias("s")).orderBy(F.xxhash64("s"), "s").limit(ranges * SAMPLE_PER_RANGE)
     bounds = sample.select(
         F.filter(F.array_sort(F.collect_list("s")), lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1).alias("b")
     )
-    key = _key_struct(keys)
-    below = F.size(F.filter(F.col("_bounds"), lambda b: b <= key))
-    return df.withColumn("_bounds", bounds.scalar()).withColumn("_range", below).drop("_bounds")
+    placed = F.when(key.isNull(), F.lit(ranges)).otherwise(_place(key, F.col("_bounds"), 0, ranges))
+    return df.withColumn("_bounds", bounds.scalar()).withColumn("_range", placed).drop("_bounds")
 
 
 def running_total(

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from bazaarlens.sources.io import stage
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+SEEDS = 500  # classes per term looked at for the lower bound
 SLACK = 1e-6  # similarities are ranked after rounding to six digits
 
 
@@ -126,20 +127,42 @@ def neighbour_classes(v: VectorClasses) -> DataFrame:
     """For every class with at most `top` members: enough other classes to fill `top` neighbours."""
     k = v.top
     small = v.classes.where(F.col("n") <= k).select("class_id", "vector")
-    mine = stage(entries(small), "neighbour_terms")
-    postings = entries(v.classes).select(F.col("class_id").alias("b"), "term")
-    # lower bound: the k-th best cosine among a few classes per rare term
+    # fixed partition number: the joins below grow these rows many times, so they must not be packed
+    # into few tasks for being small now
+    cores = v.classes.sparkSession.sparkContext.defaultParallelism
+    mine = stage(entries(small), "neighbour_terms").repartition(cores, "class_id")
+    postings = stage(entries(v.classes).select(F.col("class_id").alias("b"), "term", F.col("weight").alias("wb")), "neighbour_postings")
+    # Lower bound: true cosines of the k best-looking classes on the three rarest terms. Only a bound
+    # comes from here, so a bounded part of each posting list is enough; the search below is exact.
     rare = mine.withColumn("place", F.row_number().over(W.partitionBy("class_id").orderBy(F.desc("reach"), "term"))).where("place <= 3")
-    seeds = postings.withColumn("place", F.row_number().over(W.partitionBy("term").orderBy("b"))).where(F.col("place") <= k + 1)
-    tries = rare.select(F.col("class_id").alias("a"), "term").join(seeds, "term").where("a <> b").select("a", "b").distinct()
-    ranked = score_pairs(tries, v.classes).withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("similarity"), "b")))
-    bound = ranked.where(F.col("place") == k).select("a", F.col("similarity").alias("bound"))
-    needed = (
-        mine.select(F.col("class_id").alias("a"), "term", "reach")
+    seeds = postings.withColumn("place", F.row_number().over(W.partitionBy("term").orderBy("b"))).where(F.col("place") <= SEEDS)
+    tries = (
+        rare.select(F.col("class_id").alias("a"), "term", F.col("weight").alias("wa")).join(seeds.drop("place"), "term").where("a <> b")
+        .groupBy("a", "b")
+        .agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+    )
+    promising = tries.withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("dot"), "b"))).where(F.col("place") <= k)
+    scored = score_pairs(promising.select("a", "b"), v.classes)
+    bound = scored.groupBy("a").agg(F.when(F.count("*") == k, F.min("similarity")).alias("bound"))
+    # terms that can still lead to the bound, and the length left behind them
+    marked = (
+        mine.select(F.col("class_id").alias("a"), "term", "weight", "reach")
         .join(bound, "a", "left")
-        .where(F.col("reach") >= F.coalesce("bound", F.lit(0.0)) - SLACK)
+        .withColumn("bound", F.coalesce("bound", F.lit(0.0)) - SLACK)
+        .withColumn("needed", F.col("reach") >= F.col("bound"))
+    )
+    left_over = marked.groupBy("a").agg(
+        F.first("bound").alias("bound"), F.coalesce(F.max(F.when(~F.col("needed"), F.col("reach"))), F.lit(0.0)).alias("rest")
+    )
+    met = (
+        marked.where("needed").select("a", "term", F.col("weight").alias("wa")).join(postings, "term").where("a <> b")
+        .groupBy("a", "b")
+        .agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.sum(F.col("wb") * F.col("wb")).alias("used"))
     )
-    pairs = needed.select("a", "term").join(postings, "term").where("a <> b").select("a", "b").distinct()
+    # the rest of the cosine is at most rest(a) times what is left of b: only pairs that can reach
+    # the bound are scored in full
+    at_most = F.col("dot") + F.col("rest") * F.sqrt(F.greatest(F.lit(1.0) - F.col("used"), F.lit(0.0)))
+    pairs = met.join(left_over, "a").where(at_most >= F.col("bound")).select("a", "b")
     return score_pairs(pairs, v.classes).withColumn("similarity", F.round("similarity", 6))
 
 
