@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from bazaarlens.operators.ranges import surrogate_key
 from bazaarlens.sources.io import stage
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -70,11 +71,15 @@ class VectorClasses:
         vectors = weights.groupBy("text_id").agg(F.array_sort(F.collect_list(entry)).alias("vector"))  # <= max_features entries
         printed = F.transform("vector", lambda e: F.concat_ws(":", e["term"], F.round(e["weight"], 9).cast("string")))
         keyed = vectors.withColumn("class_id", F.sha2(F.array_join(printed, "|"), 256))
-        placed = assigned.join(keyed, "text_id")
-        self.members = stage(placed.select("class_id", "product_id"), f"{name}_members")
-        sizes = self.members.groupBy("class_id").agg(F.count("*").alias("n"), F.min("product_id").alias("head"))
-        vector = keyed.groupBy("class_id").agg(F.first("vector").alias("vector"))
-        self.classes = stage(sizes.join(vector, "class_id"), f"{name}_classes")
+        keyed = stage(keyed, f"{name}_vectors")  # read several times below
+        lines = assigned.join(keyed.select("text_id", F.col("class_id").alias("digest")), "text_id")
+        vector = keyed.groupBy(F.col("class_id").alias("digest")).agg(F.first("vector").alias("vector"))
+        sizes = lines.groupBy("digest").agg(F.count("*").alias("n"), F.min("product_id").alias("head")).join(vector, "digest")
+        # short dense numbers instead of digests: pairs of them are what gets shuffled
+        sizes = stage(sizes, f"{name}_sizes")
+        numbered = stage(surrogate_key(sizes, "class_id", ["digest"]), f"{name}_classes")
+        self.classes = numbered.drop("digest")
+        self.members = stage(lines.join(numbered.select("digest", "class_id"), "digest").select("class_id", "product_id"), f"{name}_members")
         self.top = top
 
     def first_members(self, n: int) -> DataFrame:
@@ -162,7 +167,11 @@ def neighbour_classes(v: VectorClasses) -> DataFrame:
     # the rest of the cosine is at most rest(a) times what is left of b: only pairs that can reach
     # the bound are scored in full
     at_most = F.col("dot") + F.col("rest") * F.sqrt(F.greatest(F.lit(1.0) - F.col("used"), F.lit(0.0)))
-    pairs = met.join(left_over, "a").where(at_most >= F.col("bound")).select("a", "b")
+    reachable = met.join(left_over, "a").where(at_most >= F.col("bound")).select("a", "b", "dot", at_most.alias("at_most"))
+    # a sharper bound from the k pairs with the largest partial products, then the same test again
+    largest = reachable.withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("dot"), "b"))).where(F.col("place") <= k)
+    sharp = score_pairs(largest.select("a", "b"), v.classes).groupBy("a").agg(F.when(F.count("*") == k, F.min("similarity") - SLACK).alias("sharp"))
+    pairs = reachable.join(sharp, "a", "left").where(F.col("at_most") >= F.coalesce("sharp", F.lit(0.0))).select("a", "b")
     return score_pairs(pairs, v.classes).withColumn("similarity", F.round("similarity", 6))
 
 

@@ -57,7 +57,7 @@ def trusted(m) -> C.Trusted:
 
 def corpus(m):
     """(product_id, text_corpus); the text needs the product table only."""
-    return L.product_features(trusted(m)).select("product_id", "text_corpus")
+    return trusted(m).products.select("product_id", L.corpus_text().alias("text_corpus"))
 
 
 query("ml_product_features", "SELECT * FROM p_features")(lambda m: L.product_features(trusted(m)))
