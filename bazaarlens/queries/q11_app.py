@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions import scalars as S
 from bazaarlens.operators import catalog as K
-from bazaarlens.operators.cleaning import inside_box  # noqa: F401
 from bazaarlens.oracle import sqlkit as q
 from bazaarlens.oracle.registry import query
 from bazaarlens.oracle.tables import lib
