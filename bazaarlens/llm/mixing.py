@@ -3,7 +3,7 @@
 Every document of a source is expected `target / size of the source` times. The documents of a source stand in one fixed
 order; the expected copies are summed along it, one random offset is added, and a document is taken once for every whole
 number that its stretch of the sum crosses. So the copies of any run of documents differ from their expectation by less
-than one, and as the order goes by size, so do the words.
+than one, and as the order goes by size, so do the words; large documents come first, as the last stretch of the order weighs most.
 
 Order and sums without a large sort: rows are dealt into cells of (source, size class, hash), about as many cells of a
 source as a cell has rows; the few cell totals are summed first, then each cell on its own. Only ids, sources and sizes are
@@ -68,7 +68,7 @@ def mixed(docs: DataFrame, seed: int = 20, weights: tuple[int, ...] = WEIGHTS, m
     dealt = rows.withColumn("class", in_class).withColumn("digest", digest).withColumn("cell", F.pmod("digest", F.lit(cells)))
     place = ["source", "class", "cell"]
     by_cell = dealt.groupBy(*place).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("source").orderBy("class", "cell").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy(F.desc("class"), "cell").rowsBetween(Window.unboundedPreceding, -1))
     starts = by_cell.select(*(F.col(c).alias(f"_{c}") for c in place), F.coalesce(before, F.lit(0)).alias("before"))
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class")) & (F.col("cell") == F.col("_cell"))
     in_cell = Window.partitionBy(*place).orderBy("digest", "doc_id")

@@ -2,7 +2,7 @@
 
 NEAR_COMPONENTS = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
@@ -11,8 +11,8 @@ WITH RECURSIVE w AS (
 ), n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(sh) AS g FROM s),
 f AS (SELECT * FROM e WHERE g IN (SELECT g FROM e GROUP BY g HAVING count(*) > 1)),
-c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM f a JOIN f b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT u, v FROM c JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * both >= 90 * (p.n_shingles + q.n_shingles - both)),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM f a JOIN f b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM c JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * shared >= 90 * (p.n_shingles + q.n_shingles - shared)),
 r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, l.v FROM r JOIN l ON l.u = r.seen)
 SELECT n.doc_id, n.n_shingles, min(r.seen) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY ALL
 """

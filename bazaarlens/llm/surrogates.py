@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from bazaarlens.llm import common as C
 
 KEY = "corpus-surrogates-1"
+ATTEMPTS = 64
 
 # --- fixed values: titles and their gender, alphabets, patterns ----------------
 MALE = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "Don"]
@@ -120,12 +121,13 @@ def passes_luhn(digits: Column) -> Column:
     return (luhn_sum(F.substring(digits, F.lit(1), F.length(digits) - 1)) + F.substring(digits, F.length(digits), F.lit(1)).cast("int")) % 10 == 0
 
 
-def substituted(normal: Column, hexes: Column, fixed: Column) -> Column:
-    """Every letter and digit beyond the first `fixed` replaced within its class; the rest stays."""
+def substituted(normal: Column, hexes: Column, fixed: Column, held: Column) -> Column:
+    """Every letter and digit beyond the first `fixed` replaced within its class; the rest stays. Where `held` is true,
+    so do places 4 to 6 (the exchange of a fictional phone number)."""
 
     def one(c: Column, i: Column) -> Column:
         return (
-            F.when(i < fixed, c)
+            F.when((i < fixed) | (held & (i >= 4) & (i <= 6)), c)
             .when(c.rlike("[0-9]"), pick(DIGITS, hexes, i))
             .when(c.rlike(r"\p{IsGreek}"), pick(GREEK, hexes, i))
             .when(c.rlike(r"\p{IsCyrillic}"), pick(CYRILLIC, hexes, i))
@@ -152,7 +154,8 @@ def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key:
     """The normal form that stands in for `normal` at the given attempt."""
 
     def body(hexes: Column) -> Column:
-        plain = substituted(normal, hexes, F.when(kind == "card", F.lit(1)).when(kind == "iban", F.lit(2)).otherwise(fixed))
+        fictional = (kind == "phone") & normal.rlike("^1[0-9]{3}555[0-9]{4}$") & (attempt < 4)
+        plain = substituted(normal, hexes, F.when(kind == "card", F.lit(1)).when(kind == "iban", F.lit(2)).otherwise(fixed), fictional)
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (drawn(hexes, i, 254) + 1).cast("string")), ".")
         hexed = F.substring(F.concat(hexes, F.sha2(hexes, 256)), F.lit(1), F.length(normal))
         at = F.instr(normal, "@")
@@ -194,7 +197,7 @@ def assigned(forms: DataFrame, key: str = KEY) -> DataFrame:
     entities = C.staged(entities, "entities")
     real = entities.select("kind", F.col("normal").alias("standin"))
     pending, done, attempt = entities, [], 0
-    while True:
+    while attempt < ATTEMPTS:
         tried = pending.withColumn("standin", surrogate(F.col("kind"), F.col("normal"), F.lit(attempt), F.col("fixed"), key))
         free = tried.join(real, ["kind", "standin"], "left_anti")
         for earlier in done:
@@ -206,6 +209,8 @@ def assigned(forms: DataFrame, key: str = KEY) -> DataFrame:
         attempt += 1
         if pending.isEmpty():
             break
+    else:
+        raise ValueError(f"no free surrogates after {ATTEMPTS} attempts")
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)
