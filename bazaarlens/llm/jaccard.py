@@ -2,14 +2,16 @@
 
 A set's parity sketch is the XOR of its shingles' 64-bit codes in each of B blocks (a shingle's block follows from its
 code). Two sets differ in at most as many blocks as their symmetric difference has members. In a band of sizes whose
-linked pairs differ by at most d members, B = d + 1, so linked sets agree in at least one block: the sets are joined on
-(band, block, XOR), and every pair is verified on its shingle codes. A set is also entered in the band below when it may
-link with sets of that band.
+linked pairs differ by at most d members, any d + 1 blocks contain one in which linked sets agree: the sets are joined on
+(band, block, XOR). B is a little above d + 1, so that a set usually has more than d blocks with members; then one of those
+agrees, and its empty blocks need not be entered. A set is also entered in the band below when it may link with sets there.
 
-Equal sets are one class from the start, so copies cost one row each. Among the classes that share a block, every class is
-first verified against one central class; classes already connected need no further test. What is left (classes of one
-block in different components) is compared pairwise through a second, narrow parity sketch whose Hamming distance is also
-a lower bound of the symmetric difference, and only pairs within the bound are verified. So no pair that links is lost.
+Equal sets are one class, so copies cost one row each. Among the classes that share a block, every class is paired with one
+central class. A narrow parity sketch, whose Hamming distance is also a lower bound of the symmetric difference, screens the
+pairs. Classes that share a block but are not yet connected are paired and screened as well; all pairs left are verified on
+their shingle codes. That is repeated from the verified links until every two classes that share a block are connected, or
+were screened out, or were verified and do not link. So no link is lost, and a group of near copies costs about one pair a
+member.
 
 Shingles are compared by 64-bit hashes and classes by 128-bit hashes of the whole set.
 
@@ -20,11 +22,14 @@ a NULL id. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +42,7 @@ WORDS = 3
 NARROW = 32
 
 
-def size_bands(share: int) -> np.ndarray:
+def size_bands() -> np.ndarray:
     """Lower ends of the size bands, each about 1.5 times the one before."""
     bounds = [1]
     while bounds[-1] < 1 << 40:
@@ -72,6 +77,22 @@ def identity(codes: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+@lru_cache(maxsize=None)
+def block_number(least: int, most: int) -> int:
+    """Blocks of a band: at least most + 1, and so many that a set of `least` members is likely to fill more than `most`.
+
+    Linked sets n <= m, 100 * both >= share * all, differ by at most (n + m) * (100 - share) / (100 + share) members, which is
+    `most` for the largest n of the band.
+    """
+    blocks = most + 1
+    while blocks < 2 * most + 2:
+        empty = blocks * math.exp(-least / blocks)
+        if blocks - empty >= most + 1 + 2 * math.sqrt(empty):
+            break
+        blocks += 1
+    return blocks
+
+
 def block_keys(codes: np.ndarray, share: int, bounds: np.ndarray) -> np.ndarray:
     """Join keys of a sorted set: one per block in its band, and in the band below if it can link into that."""
     n, out = len(codes), []
@@ -82,18 +103,18 @@ def block_keys(codes: np.ndarray, share: int, bounds: np.ndarray) -> np.ndarray:
         top = int(bounds[band + 1]) - 1
         if band < own and share * n > 100 * top:
             break
-        # sizes n <= m with 100 * both >= share * all differ by at most (n + m) * (100 - share) / (100 + share)
-        blocks = 1 + top * (100 - share) // share
-        if blocks == 1:
+        most = top * (100 - share) // share
+        if most == 0:
             continue  # only equal sets can link there, and those are one class
-        edges = (np.arange(blocks + 1, dtype=np.float64) * (2.0**64 / blocks)).astype(np.longdouble)
-        at = np.searchsorted(codes, np.minimum(edges[:-1], np.longdouble(2**64 - 1)).astype(np.uint64))
+        blocks = block_number(int(bounds[band]), most)
+        at = np.searchsorted(codes, (np.arange(blocks, dtype=np.uint64) * np.uint64(2**64 // blocks)))
         end = np.append(at[1:], n)
         xor = np.zeros(blocks, np.uint64)
         full = at < end
         xor[full] = np.bitwise_xor.reduceat(codes, at[full])
         tag = np.uint64(band << 32) + np.arange(blocks, dtype=np.uint64)
-        out.append(C.mix64(C.mix64(tag + np.uint64(0x1234567)) ^ xor))
+        keys = C.mix64(C.mix64(tag + np.uint64(0x1234567)) ^ xor)
+        out.append(keys[full] if full.sum() > most else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -119,31 +140,35 @@ def sets_of(text: pa.Array, n_words: int) -> Iterator[np.ndarray]:
 
 
 def sketched(docs: DataFrame, share: int, n_words: int) -> DataFrame:
-    """doc_id, n_shingles, class (h1, h2) and join keys of every row; one scan, no shuffle."""
+    """row number, doc_id, n_shingles, class (h1, h2), narrow sketch and join keys of every row; one scan, no shuffle."""
     kind = docs.schema["doc_id"].dataType
     long = T.LongType()
-    schema = T.StructType(
-        [T.StructField("doc_id", kind), *(T.StructField(c, long) for c in ("n_shingles", "h1", "h2")), T.StructField("keys", T.ArrayType(long, False))]
-    )
+    lists_of = [T.StructField(c, T.ArrayType(long, False)) for c in ("narrow", "keys")]
+    schema = T.StructType([T.StructField("row", long), T.StructField("doc_id", kind), *(T.StructField(c, long) for c in ("n_shingles", "h1", "h2")), *lists_of])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = size_bands(share)
+        bounds = size_bands()
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            n, a, c, keys = [], [], [], []
-            for codes in sets_of(C.as_array(b.column(1)), n_words):
-                h1, h2 = identity(codes)
-                n.append(len(codes))
-                a.append(h1)
-                c.append(h2)
-                keys.append(block_keys(codes, share, bounds))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(c, pa.int64()), lists(keys)], schema.names)
+            text = C.as_array(b.column(1))
+            for i, j in C.slices(text, 8 << 20):
+                found = list(sets_of(text.slice(i, j - i), n_words))
+                marks = np.array([identity(s) for s in found], np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(row, row + len(found))), b.column(0).slice(i, j - i), pa.array([len(s) for s in found], pa.int64()),
+                        pa.array(marks[:, 0]), pa.array(marks[:, 1]), lists([narrow_sketch(s) for s in found]), lists([block_keys(s, share, bounds) for s in found]),
+                    ],
+                    schema.names,
+                )
+                row += len(found)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, n_words: int) -> DataFrame:
-    """Class, size, narrow sketch and shingle codes of every row."""
-    schema = "h1 bigint, h2 bigint, n bigint, narrow array<bigint>, codes array<bigint>"
+    """Class, size and shingle codes of every row."""
+    schema = "h1 bigint, h2 bigint, n bigint, codes array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,10 +181,9 @@ def full_sets(docs: DataFrame, n_words: int) -> DataFrame:
                         pa.array([m[0] for m in marks], pa.int64()),
                         pa.array([m[1] for m in marks], pa.int64()),
                         pa.array([len(s) for s in found], pa.int64()),
-                        lists([narrow_sketch(s) for s in found]),
                         lists(found),
                     ],
-                    ["h1", "h2", "n", "narrow", "codes"],
+                    ["h1", "h2", "n", "codes"],
                 )
 
     return docs.select("text").mapInArrow(run, schema)
@@ -173,69 +197,97 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The (u, v) class pairs whose sets share at least share/100 of their union."""
     side = lambda name: sets.select(as_class().alias(name), F.col("n").alias(f"n_{name}"), F.col("codes").alias(f"codes_{name}"))
     both = F.size(F.array_intersect("codes_u", "codes_v"))
-    return (
-        pairs.join(side("u"), "u")
-        .join(side("v"), "v")
-        .where(100 * both >= share * (F.col("n_u") + F.col("n_v") - both))
-        .select("u", "v")
-    )
+    joined = pairs.select("u", "v").join(side("u"), "u").join(side("v"), "v")
+    return joined.where(100 * both >= share * (F.col("n_u") + F.col("n_v") - both)).select("u", "v")
+
+
+def may_link(share: int) -> Column:
+    """Whether sizes and narrow sketches of the sides u and v leave room for a link."""
+    apart = F.aggregate(F.zip_with("narrow_u", "narrow_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    sizes = 100 * F.least("n_u", "n_v") >= share * F.greatest("n_u", "n_v")
+    return sizes & ((100 + share) * apart <= (100 - share) * (F.col("n_u") + F.col("n_v")))
+
+
+class Search:
+    """Tables of one run: rows, the classes that share a block with another, and the keys they share."""
+
+    def __init__(self, docs: DataFrame, share: int, n_words: int) -> None:
+        self.docs, self.share, self.n_words = docs, share, n_words
+        self.rows = C.staged(sketched(docs, share, n_words), "sketches")
+        entered = self.rows.select(F.explode("keys").alias("key"), "row")
+        often = entered.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+        met = entered.join(often, "key").join(self.rows.select("row", "h1", "h2"), "row").select("key", "h1", "h2").distinct()
+        met = C.staged(met, "met-keys")
+        shared = met.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
+        self.live = C.staged(met.join(shared, "key").select("key", as_class().alias("c"), "crowd"), "live-keys")
+        alive = self.live.select("c.h1", "c.h2").distinct()
+        first = self.rows.join(alive, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("row").alias("row")).select("row")
+        about = self.rows.join(first, "row").select(as_class().alias("c"), F.col("n_shingles").alias("n"), "narrow", "doc_id")
+        self.classes = C.staged(about, "classes")
+        self.sets: DataFrame | None = None
+
+    def side(self, name: str) -> DataFrame:
+        return self.classes.select(F.col("c").alias(name), F.col("n").alias(f"n_{name}"), F.col("narrow").alias(f"narrow_{name}"))
+
+    def stars(self) -> DataFrame:
+        """Every class with the class whose blocks are shared most, of each of its blocks; screened."""
+        central = self.live.groupBy("c").agg(F.sum("crowd").alias("weight"))
+        ranked = self.live.join(central, "c").select("key", "c", F.struct("weight", "c").alias("rank"))
+        middle = ranked.groupBy("key").agg(F.max("rank").alias("top")).select("key", F.col("top.c").alias("mid"))
+        pairs = ranked.join(middle, "key").where("c <> mid").select(F.least("c", "mid").alias("u"), F.greatest("c", "mid").alias("v")).distinct()
+        return pairs.join(self.side("u"), "u").join(self.side("v"), "v").where(may_link(self.share)).select("u", "v")
+
+    def across(self, links: DataFrame) -> DataFrame:
+        """Pairs of classes that share a block but are not connected by `links`; screened."""
+        roots = components(links).withColumnRenamed("node", "c")
+        placed = C.staged(self.live.select("key", "c").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")), "placed")
+        split = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+        open_ = C.staged(placed.join(split, "key").join(self.classes.drop("doc_id"), "c"), "open-keys")
+        names = ["c", "root", "n", "narrow"]
+        u = open_.select(F.col("key").alias("key_u"), *(F.col(x).alias(f"{x}_u") for x in names))
+        v = open_.select(F.col("key").alias("key_v"), *(F.col(x).alias(f"{x}_v") for x in names))
+        apart = (F.col("key_u") == F.col("key_v")) & (F.col("root_u") != F.col("root_v")) & (F.col("c_u") < F.col("c_v"))
+        return u.join(v, apart & may_link(self.share)).select(F.col("c_u").alias("u"), F.col("c_v").alias("v")).distinct()
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that link. The sets of their classes are made from the texts once, class by class."""
+        asked = pairs.select(F.col("u").alias("c")).unionAll(pairs.select(F.col("v").alias("c"))).distinct()
+        if self.sets is not None:
+            asked = asked.join(self.sets.select(as_class().alias("c")), "c", "left_anti")
+        wanted = C.staged(asked.join(self.classes, "c").select("c.h1", "c.h2", "doc_id"), "wanted")
+        if not wanted.isEmpty():
+            ids = wanted.select(F.col("doc_id").alias("__id")).distinct()
+            texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+            found = full_sets(texts, self.n_words).join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+            made = C.staged(found, "sets")
+            self.sets = made if self.sets is None else self.sets.unionAll(made)
+        return linked_pairs(pairs, self.sets, self.share) if self.sets is not None else pairs
+
+
+def links_of(search: Search) -> DataFrame:
+    """All links that matter: classes are connected over them exactly if they are over all links."""
+    stars = C.staged(search.stars(), "stars")
+    # the pairs that the screened stars leave unconnected are verified in the same pass
+    tested = C.staged(stars.unionAll(search.across(stars)), "pairs")
+    links = C.staged(search.verified(tested), "links")
+    while True:
+        rest = C.staged(search.across(links).join(tested, ["u", "v"], "left_anti"), "pairs")
+        if rest.isEmpty():
+            return links
+        links = C.staged(links.unionAll(search.verified(rest)), "links")
+        tested = tested.unionAll(rest)
 
 
 def near_components(docs: DataFrame, share: int = 90, n_words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable over links) of every row of `docs`."""
-    rows = C.staged(sketched(docs, share, n_words), "sketches")
-    entered = rows.select(F.explode("keys").alias("key"), "h1", "h2")
-    shared = entered.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key")
-    live = C.staged(entered.join(shared, "key").distinct().select("key", as_class().alias("c")), "shared-keys")
-
-    # the class whose blocks are shared by most others stands in the middle of its neighbours
-    crowd = live.groupBy("key").agg(F.count("*").alias("members"))
-    central = live.join(crowd, "key").groupBy("c").agg(F.sum("members").alias("crowd"))
-    ranked = live.join(central, "c").select("key", "c", F.struct("crowd", "c").alias("rank"))
-    middle = ranked.groupBy("key").agg(F.max("rank").alias("top")).select("key", F.col("top.c").alias("mid"))
-    stars = ranked.join(middle, "key").where("c <> mid").select(F.col("c").alias("u"), F.col("mid").alias("v")).distinct()
-
-    # the texts of those classes, each class once
-    wanted = live.select("c").distinct().select("c.h1", "c.h2")
-    chosen = rows.join(wanted, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(chosen.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    found = full_sets(texts, n_words).join(wanted, ["h1", "h2"], "left_semi")
-    sets = C.staged(found.dropDuplicates(["h1", "h2"]), "sets")
-
-    links = C.staged(linked_pairs(stars, sets, share), "links")
-    roots = C.staged(components(links), "roots")
-
-    # classes that share a block but are not connected yet: screened by the narrow sketch, then verified
-    placed = live.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    split = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    open_ = C.staged(
-        placed.join(split, "key").join(sets.select(as_class().alias("c"), "n", "narrow"), "c"),
-        "open",
-    )
-    names = ["c", "root", "n", "narrow"]
-    u = open_.select("key", *(F.col(x).alias(f"{x}_u") for x in names))
-    v = open_.select("key", *(F.col(x).alias(f"{x}_v") for x in names))
-    apart = F.aggregate(F.zip_with("narrow_u", "narrow_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    rest = (
-        u.join(
-            v,
-            (u.key == v.key)
-            & (F.col("c_u") < F.col("c_v"))
-            & (F.col("root_u") != F.col("root_v"))
-            & (100 * F.least("n_u", "n_v") >= share * F.greatest("n_u", "n_v"))
-            & ((100 + share) * apart <= (100 - share) * (F.col("n_u") + F.col("n_v"))),
-        )
-        .select(F.col("c_u").alias("u"), F.col("c_v").alias("v"))
-        .distinct()
-    )
-    more = linked_pairs(rest, sets, share)
-    joined = components(links.unionByName(more))
-
-    # back to documents: class -> root -> smallest id
-    least = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"))
+    search = Search(docs, share, n_words)
+    joined = components(links_of(search))
+    slim = search.rows.select("doc_id", "n_shingles", "h1", "h2")
+    # class -> root -> smallest id
+    least = slim.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"))
     rooted = least.select(as_class().alias("node"), "least_id").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = rooted.join(low, "root").select("node.h1", "node.h2", "component_id")
-    filled = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2").join(of_class, ["h1", "h2"])
-    empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return filled.select("doc_id", "n_shingles", "component_id").unionByName(empty)
+    filled = slim.where("n_shingles > 0").join(of_class, ["h1", "h2"])
+    empty = slim.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    return filled.select("doc_id", "n_shingles", "component_id").unionByName(empty.select("doc_id", "n_shingles", "component_id"))

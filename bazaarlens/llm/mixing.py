@@ -85,16 +85,17 @@ def mix(docs: DataFrame, seed: int = 20, weights: tuple[int, ...] = WEIGHTS, mos
 
     Rows are matched to their copies by (doc_id, source, size) and a running number among equal ones.
     """
-    key = ["doc_id", "source", "size"]
-    decided = mixed(docs, seed, weights, most)
-    times = decided.groupBy(*key).agg(F.sum("copies").alias("_all"), F.count("*").alias("_n")).select(*(F.col(c).alias(f"_{c}") for c in key), "_all", "_n")
-    sized = docs.withColumn("_w", word_count(F.col("text"))).withColumn("_src", F.col("source").cast("string"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("_src").eqNullSafe(F.col("_source")) & (F.col("_w") == F.col("_size"))
-    joined = sized.join(times, same)
-    # rows that are equal in key share their copies as evenly as whole numbers allow
-    single = joined.where("_n = 1").withColumn("_times", F.col("_all"))
-    number = F.row_number().over(Window.partitionBy(*(f"_{c}" for c in key)).orderBy("text"))
-    several = joined.where("_n > 1").withColumn("_i", number)
-    several = several.withColumn("_times", F.floor(F.col("_i") * F.col("_all") / F.col("_n")) - F.floor((F.col("_i") - 1) * F.col("_all") / F.col("_n"))).drop("_i")
-    chosen = single.unionByName(several).where("_times > 0")
-    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns, "copy")
+    docs = docs.drop("copy")
+
+    def row_key(source: str, size: Column) -> Column:
+        return F.concat_ws("\x1f", size, F.coalesce(F.col("doc_id").cast("string"), F.lit("\x1e")), F.coalesce(F.col(source).cast("string"), F.lit("\x1e")))
+
+    decided = mixed(docs, seed, weights, most).select(row_key("source", F.col("size")).alias("__key"), "copies")
+    times = decided.groupBy("__key").agg(F.sum("copies").alias("__all"), F.count("*").alias("__n"))
+    keyed = docs.withColumn("__key", row_key("source", word_count(F.col("text"))))
+    # rows that are equal in key share their copies as evenly as whole numbers allow; join and window use one shuffle
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("text"))
+    upto = lambda i: F.floor(i * F.col("__all") / F.col("__n"))
+    numbered = keyed.join(times, "__key").withColumn("__i", number)
+    chosen = numbered.withColumn("__times", (upto(F.col("__i")) - upto(F.col("__i") - 1)).cast("int")).where("__times > 0")
+    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns, "copy")

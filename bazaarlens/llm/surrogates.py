@@ -224,15 +224,15 @@ def replaced(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataF
     mark = F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
     has = F.coalesce(text.rlike(PATTERN), F.lit(False))
     forms_in = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    found = C.staged(docs.where(has).select(mark.alias("_mark"), F.explode(F.array_distinct(forms_in)).alias("form")), "found")
+    found = C.staged(docs.where(has).select(mark.alias("__mark"), F.explode(F.array_distinct(forms_in)).alias("form")), "found")
     kinds = found.groupBy("form").agg(F.lit(1).alias("_")).select("form", kind_of(F.col("form")).alias("kind"))
     forms = C.staged(kinds.withColumn("normal", normal_form(F.col("kind"), F.col("form"))), "forms")
     spelled = forms.join(assigned(forms, key), ["kind", "normal"]).select("form", written(F.col("kind"), F.col("form"), F.col("standin")).alias("new"))
     # a document's own list of replacements
-    own = found.distinct().join(C.staged(spelled, "spelled"), "form").groupBy("_mark").agg(F.map_from_entries(F.collect_list(F.struct("form", "new"))).alias("_new"))
-    hit = docs.where(has).withColumn("_mark", mark).join(own, "_mark")
+    own = found.distinct().join(C.staged(spelled, "spelled"), "form").groupBy("__mark").agg(F.map_from_entries(F.collect_list(F.struct("form", "new"))).alias("__new"))
+    hit = docs.where(has).withColumn("__mark", mark).join(own, "__mark")
     between = F.split(text, PATTERN, -1)
-    parts = F.zip_with(between, F.transform(forms_in, lambda f: F.element_at(F.col("_new"), f)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    parts = F.zip_with(between, F.transform(forms_in, lambda f: F.element_at(F.col("__new"), f)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     columns = [F.array_join(parts, "").alias("text") if c == "text" else F.col(c) for c in kept]
     extra = [F.size(forms_in).alias(count)] if count else []
     none = [F.lit(0).alias(count)] if count else []

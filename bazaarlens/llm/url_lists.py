@@ -83,11 +83,11 @@ def judged(captures: DataFrame, log: DataFrame, url: str = "url", at: str = "fet
     valid = intervals(log).where(F.col("since") <= last)
     span = F.sequence(F.floor(F.col("since") / PERIOD), F.floor(F.least(F.coalesce(F.col("until") - 1, F.lit(last)), F.lit(last)) / PERIOD))
     cut = valid.withColumn("period", F.explode(span))
-    asked = captures.select(F.col(url).alias("_url"), F.col(at).cast("long").alias("_at")).where("_url IS NOT NULL AND _at IS NOT NULL").distinct()
-    met = asked.select("_url", "_at", F.floor(F.col("_at") / PERIOD).alias("period"), F.inline(keys_of(F.col("_url")))).join(cut, ["kind", "key", "period"])
-    holds = met.where("since <= _at AND (until IS NULL OR _at < until)")
+    asked = captures.select(F.col(url).alias("__url"), F.col(at).cast("long").alias("__at")).where("__url IS NOT NULL AND __at IS NOT NULL").distinct()
+    met = asked.select("__url", "__at", F.floor(F.col("__at") / PERIOD).alias("period"), F.inline(keys_of(F.col("__url")))).join(cut, ["kind", "key", "period"])
+    holds = met.where("since <= __at AND (until IS NULL OR __at < until)")
     best = F.struct(F.length("key").alias("n"), F.col("kind").alias("kind"), F.col("key").alias("key"), F.col("since").alias("since"), F.col("category").alias("category"))
-    decided = holds.groupBy("_url", "_at").agg(F.max(best).alias("_by"))
-    joined = captures.join(decided, (F.col(url) == F.col("_url")) & (F.col(at).cast("long") == F.col("_at")), "left")
-    shown = [F.col("_by").isNotNull(), F.col("_by.kind"), F.col("_by.key"), F.col("_by.category"), F.col("_by.since")]
-    return joined.select(*captures.columns, *(c.alias(n) for c, n in zip(shown, names, strict=True)))
+    decided = holds.groupBy("__url", "__at").agg(F.max(best).alias("__by"))
+    joined = captures.join(decided, (captures[url] == F.col("__url")) & (captures[at].cast("long") == F.col("__at")), "left")
+    shown = [F.col("__by").isNotNull(), F.col("__by.kind"), F.col("__by.key"), F.col("__by.category"), F.col("__by.since")]
+    return joined.select(*(captures[c] for c in captures.columns), *(c.alias(n) for c, n in zip(shown, names, strict=True)))
