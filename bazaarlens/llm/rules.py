@@ -125,12 +125,12 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     long = held.select("stratum", F.inline(F.array(*(F.struct(F.lit(r).alias("rule"), level(r).alias("level")) for r in RULES))))
     counted = long.groupBy("stratum", "rule", "level").agg(F.count("*").alias("rows"))
     n_good = counted.groupBy("stratum", "rule").agg(F.sum("rows").alias("n"))
-    # cutoff number i rejects the rows of level i and above
-    grid = measured.sparkSession.createDataFrame([(r, i + 1, c) for r, cs in RULES.items() for i, c in enumerate(cs)], "rule string, number int, cutoff double")
+    # the loosest cutoff rejects only the rows that exceed all of them, the strictest those that exceed any
+    grid = measured.sparkSession.createDataFrame([(r, i + 1, len(cs) - i, c) for r, cs in RULES.items() for i, c in enumerate(cs)], "rule string, number int, least int, cutoff double")
     tried = n_good.join(F.broadcast(grid), "rule")
     met = tried.alias("t").join(
         counted.alias("c"),
-        F.col("t.stratum").eqNullSafe(F.col("c.stratum")) & (F.col("t.rule") == F.col("c.rule")) & (F.col("c.level") >= F.col("t.number")),
+        F.col("t.stratum").eqNullSafe(F.col("c.stratum")) & (F.col("t.rule") == F.col("c.rule")) & (F.col("c.level") >= F.col("t.least")),
         "left",
     )
     rejected = met.groupBy("t.stratum", "t.rule", "t.number", "t.cutoff", "t.n").agg(F.coalesce(F.sum("c.rows"), F.lit(0)).alias("k"))
