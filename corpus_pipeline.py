@@ -33,8 +33,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Documents without an id cannot be told apart by it: of those, rows equal in all columns stay once.
     """
     groups = jaccard.near_components(docs.where("doc_id IS NOT NULL"), SHARE, SHINGLE)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
     return named.dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id IS NULL").distinct())
 
 
