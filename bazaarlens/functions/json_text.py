@@ -25,16 +25,7 @@ def is_object(text: Column) -> Column:
     return F.startswith(F.trim(text), F.lit("{"))
 
 
-def is_list(text: Column) -> Column:
-    return F.startswith(F.trim(text), F.lit("["))
-
-
 def flag_map(text: Column) -> Column:
     """Nested object as text values; empty map when it is missing or not an object."""
     empty = F.from_json(F.lit("{}"), TEXT_MAP)
     return F.coalesce(F.when(is_object(text), F.from_json(text, TEXT_MAP)), empty)
-
-
-def text_list(text: Column) -> Column:
-    empty = F.array().cast("array<string>")
-    return F.coalesce(F.when(is_list(text), F.from_json(text, "array<string>")), empty)

@@ -53,12 +53,3 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def sample_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     """n rows in the order of a hash of the key: a repeatable sample, kept per task before merging."""
     return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
-
-
-def page(df: DataFrame, key: str, page_number: int, size: int) -> DataFrame:
-    """Rows of one page in key order; OFFSET/LIMIT keeps at most offset + size rows per task."""
-    return df.orderBy(key).offset((page_number - 1) * size).limit(size)
-
-
-def first_where(value: Column, order: Column) -> Column:
-    return F.min_by(value, order)

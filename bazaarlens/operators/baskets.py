@@ -7,7 +7,7 @@ of such a class share the same large-basket partners, which are counted per clas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PAIR_LIMIT = 1000
@@ -80,11 +80,8 @@ def bought_together(items: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def basket_lists(items: DataFrame, chunk: int = 1000) -> DataFrame:
-    """Product lists per order. Orders above `chunk` lines come in several parts, so that no list
-    and no task has to hold a whole hot order."""
-    sizes = items.groupBy("order_id").agg(F.count("*").alias("n"))
-    big = sizes.where(F.col("n") > chunk).select("order_id", F.ceil(F.col("n") / chunk).alias("parts"))
-    spread = items.join(big, "order_id", "left").withColumn(
-        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("product_id", "order_item_id"), F.col("parts")))
-    )
-    return spread.groupBy("order_id", "part").agg(F.array_sort(F.collect_list("product_id")).alias("products"))
+    """Product lists per order, as numbered parts: lines sorted by product, `chunk` lines in a part, so that no list has to
+    hold a whole hot order. Parts follow each other in order; an order up to `chunk` lines is part 0."""
+    number = F.row_number().over(Window.partitionBy("order_id").orderBy("product_id", "order_item_id"))
+    parts = items.select("order_id", "product_id", F.floor((number - 1) / chunk).alias("part"))
+    return parts.groupBy("order_id", "part").agg(F.array_sort(F.collect_list("product_id")).alias("products"))

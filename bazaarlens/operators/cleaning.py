@@ -4,6 +4,7 @@ text input, `clean_*` the notebook rules on typed or text input."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,7 +130,7 @@ def trusted_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
         count("product_description_lenght").alias("product_description_length"),
         count("product_photos_qty").alias("product_photos_qty"),
         *[number(c).alias(c) for c in ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]],
-    ).withColumn("product_volume_cm3", F.round(F.expr("product_length_cm * product_height_cm * product_width_cm"), 2))
+    ).withColumn("product_volume_cm3", F.round(F.expr("try_multiply(try_multiply(cast(product_length_cm as bigint), product_height_cm), product_width_cm)"), 2))
 
 
 def trusted_sellers(raw: DataFrame) -> DataFrame:
@@ -199,7 +200,7 @@ def clean_order_payments(df: DataFrame) -> DataFrame:
 
 def clean_order_reviews(df: DataFrame) -> DataFrame:
     one = first_per_key(df, ["review_id"], total_order(df))
-    typed = one.withColumn("review_score", S.safe_double("review_score").cast("int"))
+    typed = one.withColumn("review_score", S.safe_double("review_score").try_cast("int"))
     blank = lambda c: S.strip(F.coalesce(F.col(c), F.lit("")))
     return typed.where(F.col("review_score").between(1, 5)).withColumns(
         {c: blank(c) for c in ["review_comment_title", "review_comment_message"]}
@@ -231,10 +232,10 @@ PRODUCT_NUMBERS = [
 
 def clean_products(df: DataFrame, translation: DataFrame) -> DataFrame:
     one = first_per_key(df, ["product_id"], total_order(df))
-    whole = lambda c: F.coalesce(S.safe_double(c).cast("int"), F.lit(0))
+    whole = lambda c: F.coalesce(S.safe_double(c).try_cast("int"), F.lit(0))
     typed = one.withColumns({c: whole(c) for c in PRODUCT_NUMBERS if c in df.columns}).withColumns(
         {
-            "product_volume_cm3": F.expr("product_length_cm * product_height_cm * product_width_cm"),
+            "product_volume_cm3": F.expr("try_multiply(try_multiply(cast(product_length_cm as bigint), product_height_cm), product_width_cm)"),
             "product_category_name": F.lower(S.strip(F.coalesce("product_category_name", F.lit("sem_categoria")))),
         }
     )
@@ -365,8 +366,8 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, keys: list[str], attribu
     new = incoming.select(F.struct(*keys, *attributes).alias("new"), *[F.col(k).alias(f"_n_{k}") for k in keys])
     on = [F.col(f"_o_{k}") == F.col(f"_n_{k}") for k in keys]
     both = now.join(new, on, "full")
-    digest = lambda side: F.xxhash64(*[F.col(f"{side}.{a}") for a in attributes])
-    changed = F.col("old").isNotNull() & F.col("new").isNotNull() & (digest("old") != digest("new"))
+    same = reduce(lambda a, b: a & b, [F.col(f"old.{a}").eqNullSafe(F.col(f"new.{a}")) for a in attributes], F.lit(True))
+    changed = F.col("old").isNotNull() & F.col("new").isNotNull() & ~same
     kept = F.when(
         F.col("old").isNotNull(),
         F.struct(

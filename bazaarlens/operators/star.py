@@ -29,10 +29,6 @@ def date_spine(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("full_date"))
 
 
-def fixed_bounds(spark, first_day: str = "2016-01-01", last_day: str = "2018-12-31") -> DataFrame:
-    return spark.range(1).select(F.lit(first_day).cast("date").alias("first_day"), F.lit(last_day).cast("date").alias("last_day"))
-
-
 def dim_date_sql(spine: DataFrame) -> DataFrame:
     d = F.col("full_date")
     return spine.select(

@@ -44,10 +44,11 @@ SELECT (CASE WHEN c = 2 THEN 'x' ELSE 'r' END) || CAST(k AS VARCHAR) AS review_i
   d AS review_creation_date,
   d + to_hours(CASE WHEN k % 97 = 0 THEN -3 ELSE k % 72 END + c * 5) AS review_answer_timestamp
 FROM (SELECT o_orderkey AS k, o_orderdate + INTERVAL {SHIFT_DAYS + 35} DAY AS d, c,
-    o_orderkey % (SELECT max(conv_id) + 1 FROM conversations) AS talk
+    o_orderkey % (SELECT max(conv_id) + 1 FROM conversations) AS talk, o_orderkey // (SELECT max(conv_id) + 1 FROM conversations) AS nth_use
   FROM orders, (VALUES (0), (1), (2)) v(c)
   WHERE o_orderkey % 10 < 8 AND (c = 0 OR (c = 1 AND o_orderkey % 40 = 0) OR (c = 2 AND o_orderkey % 60 = 0)))
-LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) ON talk = conv_id
+LEFT JOIN (SELECT conv_id, count(*) AS n_turns FROM conversations GROUP BY 1) n ON talk = n.conv_id
+LEFT JOIN (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY 1, 2) t ON talk = t.conv_id AND nth_use % n_turns = t.turn
 """)
 lib.add("m_customers", f"""
 SELECT CAST(k AS VARCHAR) AS customer_id, CAST(k - CASE WHEN k % 10 = 9 THEN 1 ELSE 0 END AS VARCHAR) AS customer_unique_id,
@@ -220,11 +221,11 @@ SELECT customer_id, customer_unique_id, customer_zip_code_prefix, {_strip("lower
 lib.add("c_sellers", f"""
 SELECT seller_id, seller_zip_code_prefix, {_strip("lower(seller_city)")} AS seller_city, {_strip("upper(seller_state)")} AS seller_state FROM m_sellers
 """)
-_whole = ", ".join(f"coalesce(CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS INTEGER), 0) AS {c}" for c in [
+_whole = ", ".join(f"coalesce(TRY_CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS INTEGER), 0) AS {c}" for c in [
     "product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"])
 lib.add("c_products", f"""
 SELECT p.*, coalesce(t.product_category_name_english, p.product_category_name) AS product_category_name_english
-FROM (SELECT *, product_length_cm * product_height_cm * product_width_cm AS product_volume_cm3
+FROM (SELECT *, TRY_CAST(product_length_cm::HUGEINT * product_height_cm * product_width_cm AS BIGINT) AS product_volume_cm3
   FROM (SELECT product_id, lower({_strip("coalesce(product_category_name, 'sem_categoria')")}) AS product_category_name, {_whole} FROM l_products)) p
 LEFT JOIN m_translation t ON p.product_category_name = t.product_category_name
 """)
@@ -232,9 +233,9 @@ LEFT JOIN m_translation t ON p.product_category_name = t.product_category_name
 # --- star schema ------------------------------------------------------------------------------
 lib.add("spine", """
 SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS full_date
-FROM (SELECT date_trunc('year', min(order_purchase_timestamp)) AS lo, date_trunc('year', max(order_purchase_timestamp)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS hi FROM m_orders)
+FROM (SELECT date_trunc('year', min(order_purchase_timestamp)) AS lo, date_trunc('year', max(order_purchase_timestamp)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS hi FROM (
+  SELECT order_purchase_timestamp FROM m_orders UNION ALL SELECT review_creation_date FROM m_reviews UNION ALL SELECT review_answer_timestamp FROM m_reviews))
 """)
-lib.add("spine_16_18", "SELECT full_date FROM spine WHERE full_date BETWEEN DATE '2016-01-01' AND DATE '2018-12-31'")
 
 
 def date_dim(source: str) -> str:
@@ -247,7 +248,7 @@ SELECT {q.date_key("full_date")} AS date_key, full_date, CAST(year(full_date) AS
 FROM {source}"""
 
 
-lib.add("d_date", date_dim("spine_16_18"))
+lib.add("d_date", date_dim("spine"))
 lib.add("d_date_all", date_dim("spine"))
 lib.add("d_customer", """
 SELECT row_number() OVER (ORDER BY customer_unique_id) AS customer_key, c.*, g.geolocation_lat AS customer_lat, g.geolocation_lng AS customer_lng

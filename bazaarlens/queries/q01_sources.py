@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from bazaarlens.oracle import sqlkit as q
@@ -17,7 +19,7 @@ N_COLUMNS = [8, 7, 5, 7, 5, 9, 4, 5, 2]
 
 @query("src_csv_typed", "SELECT * FROM m_orders")
 def _(m):
-    path = f"{io.work_dir(m.spark)}/csv_orders"
+    path = io.fresh_path(m.spark, "csv_orders")
     io.write_csv_report(m.as_text(m.orders), path)
     return io.read_csv_typed(m.spark, path, m.orders.schema, C.ORDER_TIMES)
 
@@ -28,14 +30,14 @@ def _(m):
     "UNION ALL SELECT 'returns', 'missing', NULL, NULL",
 )
 def _(m):
-    path = f"{io.work_dir(m.spark)}/csv_sellers"
+    path = io.fresh_path(m.spark, "csv_sellers")
     io.write_csv_report(m.sellers, path)
     return io.read_available(m.spark, {"sellers": path, "returns": path + "_none"}, "csv")[1]
 
 
 @query("src_raw_landing", "SELECT *, 'b1' AS batch FROM (SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM l_orders)")
 def _(m):
-    path = f"{io.work_dir(m.spark)}/csv_landing"
+    path = io.fresh_path(m.spark, "csv_landing")
     columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
     text = m.landing_orders.select(columns)
     text.write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
@@ -45,10 +47,10 @@ def _(m):
 
 @query("src_json_array", "SELECT product_id, title, description FROM m_texts")
 def _(m):
-    path = f"{io.work_dir(m.spark)}/json_products"
+    path = io.fresh_path(m.spark, "json_products")
     df = m.product_texts.select("product_id", "title", "description")
-    # one array per group of products: files of bounded size, however many products there are
-    group = F.floor(F.col("product_id").cast("bigint") / 100)
+    # one array per file; the number of files follows the table, so an array stays at some 5,000 products
+    group = F.pmod(F.xxhash64("product_id"), F.lit(1 + df.count() // 5000))
     arrays = df.groupBy(group.alias("g")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
     arrays.select("value", "g").write.mode("overwrite").partitionBy("g").text(path)
     return io.read_json_array(m.spark, path, df.schema).select(*df.columns)
@@ -82,7 +84,7 @@ def _(m):
 
 @query("sink_parquet_star", "SELECT coalesce(strftime(order_purchase_timestamp, '%Y-%m'), 'none') AS year_month, count(*) AS n_rows, CAST(sum(price) AS DECIMAL(18,2)) AS revenue FROM s_fact_orders GROUP BY 1")
 def _(m):
-    root = f"{io.work_dir(m.spark)}/star"
+    root = io.fresh_path(m.spark, "star")
     paths = io.write_star(star.build_refined(C.build_trusted(LandingView(m))), root)
     fact = m.spark.read.option("basePath", paths["fact_orders"]).parquet(paths["fact_orders"])
     return fact.groupBy(F.coalesce(F.col("year_month").cast("string"), F.lit("none")).alias("year_month")).agg(
@@ -101,14 +103,14 @@ class LandingView:
 
 @query("sink_csv_report", "SELECT order_status, count(*) AS n_orders FROM m_orders GROUP BY 1")
 def _(m):
-    path = f"{io.work_dir(m.spark)}/report_csv"
+    path = io.fresh_path(m.spark, "report_csv")
     io.write_csv_report(m.orders.groupBy("order_status").agg(F.count("*").alias("n_orders")), path)
     return m.spark.read.schema("order_status string, n_orders bigint").option("header", True).csv(path)
 
 
 @query("sink_json_report", "SELECT customer_state, count(*) AS n, count(DISTINCT customer_city) AS cities FROM c_customers GROUP BY 1")
 def _(m):
-    path = f"{io.work_dir(m.spark)}/report_json"
+    path = io.fresh_path(m.spark, "report_json")
     counts = C.clean_customers(m.customers).groupBy("customer_state").agg(F.count("*").alias("n"), F.count_distinct("customer_city").alias("cities"))
     io.write_json_report(counts.select("customer_state", F.struct("n", "cities").alias("metrics")), path)
     return m.spark.read.schema("customer_state string, metrics struct<n: bigint, cities: bigint>").json(path).select("customer_state", "metrics.n", "metrics.cities")
@@ -116,8 +118,7 @@ def _(m):
 
 @query("sink_ctas_overwrite", "SELECT * FROM t_sellers")
 def _(m):
-    df = C.trusted_sellers(m.as_text(m.sellers))
-    return io.stage(df, "trusted_sellers")
+    return io.replace_table(C.trusted_sellers(m.as_text(m.sellers)), f"trusted_sellers_{zlib.crc32(m.root.encode())}")
 
 
 @query("sink_view", "SELECT seller_state, count(*) AS n FROM t_sellers GROUP BY 1")
@@ -129,8 +130,9 @@ def _(m):
 @query("sink_insert_rows", "SELECT geography_key, zip_code, city, state FROM d_geography UNION ALL SELECT -1, '00000', 'UNKNOWN', 'XX'")
 def _(m):
     dim = star.dim_geography(C.trusted_geolocation(m.landing_geolocation))
-    path = f"{io.work_dir(m.spark)}/dim_geography"
+    path = io.fresh_path(m.spark, "dim_geography")
     member = m.spark.range(1).select(*[F.lit(v).alias(c) for c, v in star.UNKNOWN_MEMBERS["dim_geography"].items()])
+    dim.write.parquet(path)
     io.insert_rows(dim, member.withColumn("geography_key", F.col("geography_key").cast("bigint")), path)
     return m.spark.read.parquet(path).select("geography_key", "zip_code", "city", "state")
 

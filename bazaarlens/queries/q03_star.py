@@ -22,6 +22,12 @@ class Warehouse:
     def __init__(self, m):
         self.m = m
 
+    # the dates the calendar must hold: of purchases, review requests and answers
+    all_days = cached_property(
+        lambda s: s.m.orders.select(F.col("order_purchase_timestamp").alias("day")).unionAll(
+            s.m.order_reviews.select(F.explode(F.array("review_creation_date", "review_answer_timestamp")))
+        )
+    )
     orders = cached_property(lambda s: C.trusted_orders(s.m.landing_orders))
     items = cached_property(lambda s: C.trusted_order_items(s.m.landing_order_items))
     payments = cached_property(lambda s: C.trusted_payments(s.m.landing_order_payments))
@@ -30,10 +36,9 @@ class Warehouse:
     products = cached_property(lambda s: C.trusted_products(s.m.landing_products, s.m.translation))
     sellers = cached_property(lambda s: C.trusted_sellers(s.m.sellers))
     geo = cached_property(lambda s: C.trusted_geolocation(s.m.landing_geolocation))
-    bounds = cached_property(lambda s: star.date_bounds(s.m.orders, "order_purchase_timestamp"))
+    bounds = cached_property(lambda s: star.date_bounds(s.all_days, "day"))
     dates_all = cached_property(lambda s: star.dim_date_sql(star.date_spine(s.bounds)))
-    # the calendar the views join to covers 2016-2018 only, as in the model
-    dates = cached_property(lambda s: s.dates_all.where("full_date between date'2016-01-01' and date'2018-12-31'"))
+    dates = cached_property(lambda s: s.dates_all)  # every date a fact refers to lies in the calendar
     dim_customer = cached_property(lambda s: star.dim_customer(s.customers, s.geo))
     dim_product = cached_property(lambda s: star.dim_product(s.products))
     dim_seller = cached_property(lambda s: star.dim_seller(s.sellers, s.geo))
@@ -44,7 +49,7 @@ class Warehouse:
     fact_reviews = cached_property(lambda s: star.fact_reviews_sql(s.reviews, s.orders, s.items, s.dim_customer, s.dim_product))
 
 
-for _name in ["orders", "items", "payments", "reviews", "customers", "products", "sellers", "geo", "bounds", "dates_all", "dates",
+for _name in ["orders", "items", "payments", "reviews", "customers", "products", "sellers", "geo", "bounds", "all_days", "dates_all", "dates",
               "dim_customer", "dim_product", "dim_seller", "dim_geography", "fact_orders", "fact_reviews"]:
     getattr(Warehouse, _name).__set_name__(Warehouse, _name)
 

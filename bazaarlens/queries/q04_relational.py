@@ -196,7 +196,7 @@ query(
 query("agg_first", "SELECT order_id, arg_min(payment_type, payment_sequential) AS payment_type FROM m_payments GROUP BY 1")(
     lambda m: m.order_payments.groupBy("order_id").agg(F.min_by("payment_type", "payment_sequential").alias("payment_type"))
 )
-query("agg_collect_list", "SELECT order_id, 0::BIGINT AS part, string_agg(product_id, ',' ORDER BY product_id) AS products FROM m_items GROUP BY 1")(
+query("agg_collect_list", "SELECT order_id, part, string_agg(product_id, ',' ORDER BY product_id) AS products FROM (SELECT order_id, product_id, (row_number() OVER (PARTITION BY order_id ORDER BY product_id, order_item_id) - 1) // 1000 AS part FROM m_items) GROUP BY 1, 2")(
     lambda m: B.basket_lists(m.order_items).withColumn("products", F.array_join("products", ","))
 )
 query("agg_string_set", "SELECT order_id, string_agg(DISTINCT payment_type, '|' ORDER BY payment_type) AS payment_types FROM m_payments GROUP BY 1")(

@@ -57,8 +57,8 @@ query(
     "fn_slug",
     "SELECT product_id, substr(regexp_replace(replace(replace(replace(lower(title), ' ', '_'), '/', '_'), '\\', '_'), '[^\\p{L}\\p{N}_]', '', 'g'), 1, 50) AS slug FROM m_texts",
 )(lambda m: m.product_texts.select("product_id", S.slug("title").alias("slug")))
-query("fn_truncate_label", "SELECT id, CASE WHEN length(label) > 65 THEN substr(label, 1, 65) || '...' ELSE label END AS label FROM (SELECT id, name || ' - ' || split_part(description, chr(10), 1) AS label FROM m_assets)")(
-    lambda m: m.assets.select("id", F.concat("name", F.lit(" - "), F.split_part("description", F.lit("\n"), F.lit(1))).alias("label")).select("id", S.short_label("label").alias("label"))
+query("fn_truncate_label", "SELECT id, CASE WHEN length(label) > 65 THEN substr(label, 1, 65) || '...' ELSE label END AS label FROM (SELECT id, name || ' - ' || description AS label FROM m_assets)")(
+    lambda m: m.assets.select("id", F.concat("name", F.lit(" - "), F.col("description")).alias("label")).select("id", S.short_label("label").alias("label"))
 )
 query(
     "fn_coalesce_nullif",

@@ -184,7 +184,7 @@ def _(m):
 def _(m):
     from pyspark.ml import PipelineModel
 
-    path = f"{io.work_dir(m.spark)}/delivery_model"
+    path = io.fresh_path(m.spark, "delivery_model")
     io.save_model(forest(m.spark, m.root), path)
     again = PipelineModel.load(path)
     both = predictions(m).select("order_id", "order_item_id", F.col("prediction").alias("before")).join(

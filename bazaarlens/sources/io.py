@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -30,19 +31,27 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[0]
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder of the shared work folder that no other call uses, so that returned tables stay readable."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a table to the shared folder and read it back: the lineage ends at the files."""
-    path = f"{work_dir(df.sparkSession)}/{name}"
-    writer = df.write.mode("overwrite")
+    """Write a table to a fresh shared folder and read it back: the lineage ends at the files."""
+    path = fresh_path(df.sparkSession, name)
+    writer = df.write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # --- readers -----------------------------------------------------------------
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, timestamps: list[str]) -> DataFrame:
-    """Read text columns under an explicit schema; named timestamp columns are parsed safely."""
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, timestamps: list[str], multi_line: bool = False) -> DataFrame:
+    """Read text columns under an explicit schema; named timestamp columns are parsed safely.
+
+    `multi_line` allows line ends inside quoted fields; files are then read whole, one task each.
+    """
     text = T.StructType([T.StructField(f.name, T.StringType() if f.name in timestamps else f.dataType, True) for f in schema.fields])
-    df = spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    df = spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return df.withColumns({c: S.safe_timestamp(c) for c in timestamps if c in df.columns})
 
 
@@ -136,9 +145,11 @@ def write_json_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """CREATE OR REPLACE TABLE ... AS SELECT."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def replace_table(df: DataFrame, name: str) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS SELECT, with its files in a fresh shared folder; returns the table."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").format("parquet").option("path", fresh_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
 
 
 def replace_view(df: DataFrame, name: str) -> None:
@@ -146,8 +157,10 @@ def replace_view(df: DataFrame, name: str) -> None:
 
 
 def insert_rows(df: DataFrame, rows: DataFrame, path: str) -> None:
-    """INSERT: the table and the extra rows, written as one new version."""
-    df.unionByName(rows, allowMissingColumns=True).write.mode("overwrite").parquet(path)
+    """INSERT: appends rows to the table at `path`, in the columns and types of `df`; only the new rows are written."""
+    given = set(rows.columns)
+    cast = [F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    rows.select(*cast).write.mode("append").parquet(path)
 
 
 def save_model(model, path: str) -> None:

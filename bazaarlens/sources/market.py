@@ -115,7 +115,9 @@ class Market:
     def order_reviews(self) -> DataFrame:
         k = F.col("o_orderkey")
         talks = self.table("conversations")
-        texts = talks.where("turn = 0").select(F.col("conv_id"), F.col("text"))
+        # the reviews of a conversation take its turns in rotation, so every turn is some review's text
+        texts = talks.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+        lengths = talks.groupBy(F.col("conv_id").alias("talk")).agg(F.count("*").alias("n_turns"))
         n_talks = talks.select(F.max("conv_id") + 1).scalar()
         copies = F.when((k % 40 == 0) & (k % 60 == 0), F.array(F.lit(0), F.lit(1), F.lit(2)))
         copies = copies.when(k % 40 == 0, F.array(F.lit(0), F.lit(1))).when(k % 60 == 0, F.array(F.lit(0), F.lit(2)))
@@ -126,8 +128,10 @@ class Market:
             .where(k % 10 < 8)
             .select(k, "o_orderdate", F.explode(copies.otherwise(F.array(F.lit(0)))).alias("c"))
             .withColumn("talk", k % n_talks)
+            .withColumn("nth_use", F.floor(k / n_talks))
+            .join(lengths, "talk", "left")
         )
-        return base.join(texts, F.col("talk") == F.col("conv_id"), "left").select(
+        return base.join(texts, (F.col("talk") == F.col("conv_id")) & (F.col("nth_use") % F.col("n_turns") == F.col("turn")), "left").select(
             F.concat(F.when(F.col("c") == 2, "x").otherwise("r"), k.cast("string")).alias("review_id"),
             k.cast("string").alias("order_id"),
             F.when(k % 111 == 0, 6).otherwise(k * 7 % 5 + 1).cast("int").alias("review_score"),
