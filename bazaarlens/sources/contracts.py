@@ -12,84 +12,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values: column lists; "!" marks NOT NULL -------------------------------
+# --- fixed values: column lists in DDL -------------------------------
 TRUSTED = {
     "stg_orders": (
-        "order_id string!, customer_id string!, order_status string!, order_purchase_timestamp timestamp_ntz!, "
+        "order_id string NOT NULL, customer_id string NOT NULL, order_status string NOT NULL, order_purchase_timestamp timestamp_ntz NOT NULL, "
         "order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
         "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz",
         ["order_id"],
     ),
     "stg_order_items": (
-        "order_id string!, order_item_id int!, product_id string!, seller_id string!, "
-        "shipping_limit_date timestamp_ntz!, price decimal(12,2)!, freight_value decimal(12,2)!",
+        "order_id string NOT NULL, order_item_id int NOT NULL, product_id string NOT NULL, seller_id string NOT NULL, "
+        "shipping_limit_date timestamp_ntz NOT NULL, price decimal(12,2) NOT NULL, freight_value decimal(12,2) NOT NULL",
         ["order_id", "order_item_id"],
     ),
     "stg_order_payments": (
-        "order_id string!, payment_sequential int!, payment_type string!, payment_installments int!, payment_value decimal(12,2)!",
+        "order_id string NOT NULL, payment_sequential int NOT NULL, payment_type string NOT NULL, payment_installments int NOT NULL, payment_value decimal(12,2) NOT NULL",
         ["order_id", "payment_sequential"],
     ),
     "stg_order_reviews": (
-        "review_id string!, order_id string!, review_score int!, review_comment_title string, review_comment_message string, "
-        "review_creation_date timestamp_ntz!, review_answer_timestamp timestamp_ntz",
+        "review_id string NOT NULL, order_id string NOT NULL, review_score int NOT NULL, review_comment_title string, review_comment_message string, "
+        "review_creation_date timestamp_ntz NOT NULL, review_answer_timestamp timestamp_ntz",
         ["review_id"],
     ),
     "stg_customers": (
-        "customer_id string!, customer_unique_id string!, customer_zip_code_prefix string!, customer_city string!, customer_state string!",
+        "customer_id string NOT NULL, customer_unique_id string NOT NULL, customer_zip_code_prefix string NOT NULL, customer_city string NOT NULL, customer_state string NOT NULL",
         ["customer_id"],
     ),
     "stg_products": (
-        "product_id string!, product_category_name string, product_name_length int, product_description_length int, "
+        "product_id string NOT NULL, product_category_name string, product_name_length int, product_description_length int, "
         "product_photos_qty int, product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int",
         ["product_id"],
     ),
     "stg_sellers": (
-        "seller_id string!, seller_zip_code_prefix string!, seller_city string!, seller_state string!",
+        "seller_id string NOT NULL, seller_zip_code_prefix string NOT NULL, seller_city string NOT NULL, seller_state string NOT NULL",
         ["seller_id"],
     ),
     "stg_geolocation": (
-        "zip_code_prefix string!, latitude decimal(12,8)!, longitude decimal(12,8)!, city string!, state string!",
+        "zip_code_prefix string NOT NULL, latitude decimal(12,8) NOT NULL, longitude decimal(12,8) NOT NULL, city string NOT NULL, state string NOT NULL",
         ["zip_code_prefix"],
     ),
     "stg_category_translation": (
-        "product_category_name string!, product_category_name_english string!",
+        "product_category_name string NOT NULL, product_category_name_english string NOT NULL",
         ["product_category_name"],
     ),
 }
 REFINED = {
     "dim_date": (
-        "date_key int!, full_date date!, year int!, quarter int!, month int!, month_name string!, week int!, day_of_month int!, "
-        "day_of_week int!, day_of_week_name string!, is_weekend boolean!, is_holiday boolean!",
+        "date_key int NOT NULL, full_date date NOT NULL, year int NOT NULL, quarter int NOT NULL, month int NOT NULL, month_name string NOT NULL, week int NOT NULL, day_of_month int NOT NULL, "
+        "day_of_week int NOT NULL, day_of_week_name string NOT NULL, is_weekend boolean NOT NULL, is_holiday boolean NOT NULL",
         ["date_key"], [],
     ),
     "dim_customer": (
-        "customer_key bigint!, customer_unique_id string!, customer_city string!, customer_state string!, "
-        "customer_zip_code string!, customer_region string",
+        "customer_key bigint NOT NULL, customer_unique_id string NOT NULL, customer_city string NOT NULL, customer_state string NOT NULL, "
+        "customer_zip_code string NOT NULL, customer_region string",
         ["customer_key"], ["customer_unique_id"],
     ),
     "dim_product": (
-        "product_key bigint!, product_id string!, product_category_name string, product_category_english string, "
+        "product_key bigint NOT NULL, product_id string NOT NULL, product_category_name string, product_category_english string, "
         "product_name_length int, product_description_length int, product_photos_qty int, product_weight_g int, "
         "product_length_cm int, product_height_cm int, product_width_cm int",
         ["product_key"], ["product_id"],
     ),
     "dim_seller": (
-        "seller_key bigint!, seller_id string!, seller_city string!, seller_state string!, seller_zip_code string!, seller_region string",
+        "seller_key bigint NOT NULL, seller_id string NOT NULL, seller_city string NOT NULL, seller_state string NOT NULL, seller_zip_code string NOT NULL, seller_region string",
         ["seller_key"], ["seller_id"],
     ),
     "dim_geography": (
-        "geography_key bigint!, zip_code string!, city string!, state string!, region string, latitude decimal(12,8), longitude decimal(12,8)",
+        "geography_key bigint NOT NULL, zip_code string NOT NULL, city string NOT NULL, state string NOT NULL, region string, latitude decimal(12,8), longitude decimal(12,8)",
         ["geography_key"], ["zip_code"],
     ),
     "fact_orders": (
-        "order_item_key bigint!, order_id string!, order_item_sequence int!, customer_key bigint!, product_key bigint!, "
-        "seller_key bigint!, date_key int!, geography_key bigint!, payment_type string, order_status string!, "
-        "price decimal(12,2)!, freight_value decimal(12,2)!, payment_value decimal(12,2), payment_installments int",
+        "order_item_key bigint NOT NULL, order_id string NOT NULL, order_item_sequence int NOT NULL, customer_key bigint NOT NULL, product_key bigint NOT NULL, "
+        "seller_key bigint NOT NULL, date_key int NOT NULL, geography_key bigint NOT NULL, payment_type string, order_status string NOT NULL, "
+        "price decimal(12,2) NOT NULL, freight_value decimal(12,2) NOT NULL, payment_value decimal(12,2), payment_installments int",
         ["order_item_key"], [],
     ),
     "fact_reviews": (
-        "review_key bigint!, review_id string!, order_id string!, customer_key bigint!, product_key bigint!, date_key int!, "
-        "review_score int!, response_time_hours decimal(10,2), review_comment_title string, review_comment_message string, "
+        "review_key bigint NOT NULL, review_id string NOT NULL, order_id string NOT NULL, customer_key bigint NOT NULL, product_key bigint NOT NULL, date_key int NOT NULL, "
+        "review_score int NOT NULL, response_time_hours decimal(10,2), review_comment_title string, review_comment_message string, "
         "review_answer_timestamp timestamp_ntz",
         ["review_key"], ["review_id"],
     ),
@@ -127,15 +127,10 @@ class Contract:
     defaults: dict = field(default_factory=dict)
 
 
-def _schema(text: str) -> T.StructType:
-    fields = []
-    for part in text.replace("decimal(12,2)", "decimal(12.2)").replace("decimal(12,8)", "decimal(12.8)").replace("decimal(10,2)", "decimal(10.2)").split(","):
-        name, kind = part.split()
-        required = kind.endswith("!")
-        kind = kind.rstrip("!").replace("12.2", "12,2").replace("12.8", "12,8").replace("10.2", "10,2")
-        meta = {"comment": COMMENTS[name]} if name in COMMENTS else {}
-        fields.append(T.StructField(name, T._parse_datatype_string(kind), not required, meta))
-    return T.StructType(fields)
+def _schema(ddl: str) -> T.StructType:
+    """The DDL as a schema, with the comments of the columns that have one."""
+    fields = T.StructType.fromDDL(ddl).fields
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {"comment": COMMENTS[f.name]} if f.name in COMMENTS else {}) for f in fields])
 
 
 def contracts() -> dict[str, Contract]:
