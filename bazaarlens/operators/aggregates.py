@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from bazaarlens.functions import scalars as S
 from bazaarlens.operators.ranges import exact_quantiles
+from bazaarlens.sources.io import stage
 
 
 def value_counts(df: DataFrame, column: str, drop_null: bool = True) -> DataFrame:
@@ -28,7 +29,7 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int) -> Da
 
 def box_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles and the whiskers: the outermost values within 1.5 interquartile ranges."""
-    q = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q = stage(exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")  # one row, read often
     fences = q.select("*", (F.expr("q1 - 1.5 * (q3 - q1)")).alias("lo"), F.expr("q3 + 1.5 * (q3 - q1)").alias("hi"))
     x = F.col(column).cast("double")
     inside = df.select(x.alias("x")).withColumns({"lo": fences.select("lo").scalar(), "hi": fences.select("hi").scalar()})

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import scalars as S
+from bazaarlens.sources.io import stage
 
 ROW_KINDS = {"not_null", "in_set", "between", "regex", "length", "check"}
 
@@ -159,6 +160,7 @@ def report(suites: DataFrame, checks: DataFrame, gate: float = 0.95) -> DataFram
         F.count_if("passed").alias("checks_passed"),
         F.avg("score").alias("consistency"),
     )
+    per_check = stage(per_check, "check_totals")  # one row, read once per column
     row = per_suite.withColumns({c: per_check.select(c).scalar() for c in per_check.columns})
     overall = (F.col("score_sum") + F.col("consistency")) / (F.col("tables_validated") + 1)
     return row.select(

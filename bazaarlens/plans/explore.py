@@ -12,6 +12,7 @@ from bazaarlens.functions import scalars as S
 from bazaarlens.operators import aggregates as A
 from bazaarlens.operators import joins as J
 from bazaarlens.operators.ranges import exact_quantiles
+from bazaarlens.sources.io import stage
 
 
 def table_profile(name: str, df: DataFrame) -> DataFrame:
@@ -168,8 +169,9 @@ def executive_summary(m) -> DataFrame:
     """One row: every block is a one-row aggregate read as a scalar."""
     one = lambda df, c: df.select(c).scalar()
     count = lambda df: df.select(F.count("*")).scalar()
-    values, scores, delivery = order_value_summary(m.order_items), nps(m.order_reviews), delivery_metrics(m.orders)
-    states = orders_by_state(m.orders, m.customers)
+    blocks = {"values": order_value_summary(m.order_items), "scores": nps(m.order_reviews), "delivery": delivery_metrics(m.orders)}
+    values, scores, delivery = (stage(df, f"summary_{name}") for name, df in blocks.items())  # small, read once per column
+    states = stage(orders_by_state(m.orders, m.customers), "summary_states")
     top_state = states.where("posicao = 1")
     top_category = top_categories(m.order_items, m.products, m.translation, 1)
     return m.spark.range(1).select(

