@@ -267,3 +267,62 @@ def test_work_dir_prefers_the_shared_folder():
     conf.clear()
     with pytest.raises(ValueError):
         io.work_dir(session)
+
+
+def test_cleaners_take_numbers_that_fit_nothing(spark):
+    numbers = ["product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
+    rows = [("a", "x", *["NaN"] * 7), ("b", "x", *["1e12"] * 7), ("c", "x", *["-inf"] * 7), ("d", "x", "1", "1", "1", "1", "3000", "3000", "3000"), ("e", None, *[None] * 7)]
+    products = spark.createDataFrame(rows, "product_id string, product_category_name string, " + ", ".join(f"{c} string" for c in numbers))
+    words = spark.createDataFrame([("x", "ex")], "product_category_name string, product_category_name_english string")
+    got = {r["product_id"]: r for r in C.clean_products(products, words).collect()}
+    assert all(got[k]["product_weight_g"] == 0 and got[k]["product_volume_cm3"] == 0 for k in "abce") and got["d"]["product_volume_cm3"] == 27_000_000_000
+    reviews = spark.createDataFrame([("r1", "NaN"), ("r2", "inf"), ("r3", "4.9"), ("r4", "1e12"), ("r5", None)], "review_id string, review_score string").selectExpr(
+        "review_id", "'o' as order_id", "review_score", "'' as review_comment_title", "'' as review_comment_message", "timestamp'2020-01-01' as review_creation_date", "timestamp'2020-01-01' as review_answer_timestamp"
+    )
+    assert [(r["review_id"], r["review_score"]) for r in C.clean_order_reviews(reviews).collect()] == [("r3", 4)]
+
+
+def test_type_two_merge_sees_values_that_trade_places_with_null(spark):
+    old = spark.createDataFrame([(1, "x", None), (2, "x", None)], "k int, a string, b string")
+    history = old.selectExpr("*", "timestamp_ntz'2020-01-01' as _dw_valid_from", "cast(null as timestamp_ntz) as _dw_valid_to", "true as _dw_is_current")
+    new = spark.createDataFrame([(1, None, "x"), (2, "x", None)], "k int, a string, b string")
+    rows = C.scd2_merge(history, new, ["k"], ["a", "b"], F.lit("2021-01-01").cast("timestamp_ntz")).collect()
+    assert sorted((r["k"], r["_dw_is_current"]) for r in rows) == [(1, False), (1, True), (2, True)]
+
+
+def test_large_basket_is_listed_in_ordered_parts(spark):
+    items = spark.createDataFrame([("big", i, f"p{i:05d}") for i in range(1500)] + [("small", 1, "z"), ("small", 2, "a")], "order_id string, order_item_id int, product_id string")
+    parts = {(r["order_id"], r["part"]): r["products"] for r in B.basket_lists(items).collect()}
+    assert parts["small", 0] == ["a", "z"]
+    assert parts["big", 0] + parts["big", 1] == [f"p{i:05d}" for i in range(1500)] and len(parts["big", 0]) == 1000
+
+
+def test_staged_tables_stay_readable(spark):
+    first = io.stage(spark.range(3), "same-name")
+    second = io.stage(spark.range(5), "same-name")
+    assert (first.count(), second.count()) == (3, 5)
+    io.replace_table(spark.range(2).toDF("n"), "replaced_here")
+    assert io.replace_table(spark.range(4).toDF("n"), "replaced_here").count() == 4
+    path = io.fresh_path(spark, "appended")
+    table = spark.createDataFrame([(1, "a")], "n bigint, s string")
+    table.write.parquet(path)
+    io.insert_rows(table, spark.createDataFrame([(7,)], "n int"), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (7, None)]
+
+
+def test_views_keep_every_fact_row(spark, root):
+    from bazaarlens.queries.q03_star import Warehouse
+    from bazaarlens.sources.market import Market
+
+    w = Warehouse(Market(spark, root))
+    assert star.vw_sales_analysis(w.fact_orders, w.dates, w.dim_customer, w.dim_product, w.dim_seller).count() == w.fact_orders.count()
+    assert star.vw_satisfaction_analysis(w.fact_reviews, w.dates, w.dim_customer, w.dim_product).count() == w.fact_reviews.count()
+
+
+def test_default_extractor_matches_whole_words(spark):
+    import json
+
+    texts = spark.createDataFrame([("1", "Steel hundred women bottle", "It is read by MEN."), ("2", None, None)], "product_id string, title string, description string")
+    answers = {r["product_id"]: json.loads(r["answer"]) for r in X.extract_batch(texts).collect()}
+    assert answers["1"]["color"] is None and answers["1"]["material"] == "Steel" and answers["1"]["target_audience"] == "Women"
+    assert answers["1"]["keywords"] == ["steel", "hundred", "women", "bottle", "read"] and answers["2"]["keywords"] == []
