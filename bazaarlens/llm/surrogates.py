@@ -44,7 +44,8 @@ ENDINGS = {
     "cyrillic": {"m": "лов", "f": "лова", "n": "ко"},
 }
 
-TITLE = r"(?<!\p{L})(?:" + "|".join(MALE + FEMALE + OTHER) + r")\.? "
+# the first letters are looked at before anything else, as the pattern is tried at every character
+TITLE = r"(?=[" + "".join(sorted({t[0] for t in MALE + FEMALE + OTHER})) + r"])(?<!\p{L})(?:" + "|".join(MALE + FEMALE + OTHER) + r")\.? "
 KINDS = {
     "mail": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
     "name": TITLE + r"\p{Lu}\p{L}+(?: \p{Lu}\p{Ll}+)?",
@@ -56,6 +57,8 @@ KINDS = {
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+#: Every entity holds one of these, most texts none: a quick first look.
+HINT = r"[0-9@]|" + TITLE + r"\p{Lu}|(?:sk|pk|ghp|xox[bp])[_\-]\p{Alnum}|AKIA[A-Z]|[a-fA-F]{32}"
 BARE = r"[^\p{L}\p{N}]"
 
 
@@ -222,7 +225,7 @@ def replaced(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataF
     kept = docs.columns
     text = F.col("text")
     mark = F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
-    has = F.coalesce(text.rlike(PATTERN), F.lit(False))
+    has = F.coalesce(text.rlike(HINT) & text.rlike(PATTERN), F.lit(False))
     forms_in = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     found = C.staged(docs.where(has).select(mark.alias("__mark"), F.explode(F.array_distinct(forms_in)).alias("form")), "found")
     kinds = found.groupBy("form").agg(F.lit(1).alias("_")).select("form", kind_of(F.col("form")).alias("kind"))
