@@ -151,14 +151,31 @@ def _(m):
     return star.fact_key_lookup(placed, w.dim_geography, "zip_code", "geography_key").select("order_id", "geography_key")
 
 
-query(
+_members = {
+    "dim_customer": ("d_customer", "customer_key", "customer_unique_id", "UNKNOWN"),
+    "dim_product": ("d_product", "product_key", "product_id", "UNKNOWN"),
+    "dim_seller": ("d_seller", "seller_key", "seller_id", "UNKNOWN"),
+    "dim_geography": ("d_geography", "geography_key", "zip_code", "00000"),
+    "dim_date": ("d_date_all", "date_key", "full_date", "1900-01-01"),
+}
+
+
+@query(
     "dim_sentinel",
-    "SELECT seller_key, seller_id, seller_zip_code_prefix, seller_city, seller_state FROM d_seller UNION ALL SELECT -1, 'UNKNOWN', '00000', 'UNKNOWN', 'XX'",
-)(
-    lambda m: star.with_sentinel(Warehouse(m).dim_seller, star.UNKNOWN_MEMBERS["dim_seller"]).select(
-        "seller_key", "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"
-    )
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS dimension, CAST({k} AS BIGINT) AS key, CAST({i} AS VARCHAR) AS member FROM {t} UNION ALL SELECT '{n}', -1, '{u}'" for n, (t, k, i, u) in _members.items()
+    ),
 )
+def _(m):
+    """Every dimension with its unknown member."""
+    w = Warehouse(m)
+    dims = {"dim_customer": w.dim_customer, "dim_product": w.dim_product, "dim_seller": w.dim_seller, "dim_geography": w.dim_geography, "dim_date": w.dates_all}
+    parts = [
+        star.with_sentinel(df, star.UNKNOWN_MEMBERS[n]).select(F.lit(n).alias("dimension"), F.col(_members[n][1]).cast("bigint").alias("key"), F.col(_members[n][2]).cast("string").alias("member"))
+        for n, df in dims.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
 query("surrogate_key", "SELECT row_number() OVER (ORDER BY order_id) AS order_key, order_id FROM m_orders")(
     lambda m: R.surrogate_key(m.orders.select("order_id"), "order_key", ["order_id"])
 )

@@ -167,9 +167,13 @@ query("cat_search", "SELECT id, name FROM m_assets WHERE contains(lower(name), '
     lambda m: K.search(m.assets, "De").select("id", "name")
 )
 query("cat_summary", """SELECT coalesce(type, asset_type, "assetType", 'unknown') AS asset_type, count(*) AS n FROM m_assets GROUP BY 1""")(lambda m: K.summary(m.assets))
-query(
+@query(
     "cat_merge_tags",
-    "SELECT id, CASE WHEN id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN array_to_string(list_sort(list_distinct(list_concat(tags, ['good', 'en']))), ',') ELSE array_to_string(tags, ',') END AS tags FROM m_assets",
-)(
-    lambda m: K.merge_tags(m.assets, m.table("labels").where("quality = 1").select(F.col("doc_id").alias("id")), ["good", "en"]).select("id", F.array_join("tags", ",").alias("tags"))
+    """SELECT id, CASE WHEN id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN array_to_string(list_sort(list_distinct(list_concat(tags, ['good', 'en']))), ',') ELSE array_to_string(tags, ',') END AS tags,
+    CASE WHEN id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'good,en' ELSE array_to_string(tags, ',') END AS tags_replaced FROM m_assets""",
 )
+def _(m):
+    good = m.table("labels").where("quality = 1").select(F.col("doc_id").alias("id"))
+    added = K.merge_tags(m.assets, good, ["good", "en"]).select("id", F.array_join("tags", ",").alias("tags"))
+    replaced = K.merge_tags(m.assets, good, ["good", "en"], append=False).select("id", F.array_join("tags", ",").alias("tags_replaced"))
+    return added.join(replaced, "id")
