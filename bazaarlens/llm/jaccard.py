@@ -38,6 +38,8 @@ from bazaarlens.llm import common as C
 from bazaarlens.llm.components import components
 
 WORDS = 3
+#: Up to so many ids are sent to the tasks to pick out their texts; more are joined.
+FEW = 300_000
 #: Longs of the narrow sketch that screens pairs before they are verified.
 NARROW = 32
 
@@ -255,8 +257,11 @@ class Search:
         if self.sets is not None:
             asked = asked.join(self.sets.select(as_class().alias("c")), "c", "left_anti")
         wanted = C.staged(asked.join(self.classes, "c").select("c.h1", "c.h2", "doc_id"), "wanted")
-        if not wanted.isEmpty():
+        asked_for = wanted.count()
+        if asked_for:
             ids = wanted.select(F.col("doc_id").alias("__id")).distinct()
+            if asked_for <= FEW:  # then the texts need no shuffle
+                ids = F.broadcast(ids)
             texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
             found = full_sets(texts, self.n_words).join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
             made = C.staged(found, "sets")
