@@ -4,11 +4,15 @@ Words are lower-cased and lose punctuation at their edges; features are five-wor
 (a factor of about 1.25 apart), every benchmark item is fingerprinted at all offsets by the lengths between half of it and
 the whole, and every document at every fourth part of a length. A stretch that a document shares with an item therefore
 contains a window that stands in both, if it is at least half the item and a quarter longer than some length of the ladder.
+Edits can leave no such stretch, so the lowest rung are windows of one shingle, at every place: the anchors of an item, its
+rarest shingles, whose absence would leave less than the limit. A window at the limit holds at least one of them, wherever
+the edits are.
 
 The 64 bits fall into `RADIUS + 1` blocks. Fingerprints within the radius agree in one block at least, so looking up every
-block finds all of them. Each find names an item and a place; the item-sized window there is compared exactly: the sum of
-the weighted minima of the shingle counts over that of the maxima, the weight of a shingle being one over the number of items
-that hold it. At `SIMILARITY` or more, the document is contaminated by the item.
+block finds all of them. Each find names an item and a place; the item-sized window there (of an anchor, every item-sized
+window that holds it) is compared exactly: the sum of the weighted minima of the shingle counts over that of the maxima, the
+weight of a shingle being one over the number of items that hold it. At `SIMILARITY` or more, the document is contaminated by
+the item. So the result equals the comparison of every item with every window.
 
 One scan of the documents without a shuffle of texts per `ITEMS` benchmark items; the items of one scan (a bounded number of
 bounded texts) travel with the tasks, more items take more scans.
@@ -78,7 +82,7 @@ def fingerprints(running: np.ndarray, at: np.ndarray, length: int) -> np.ndarray
 class Index:
     """Fingerprints of a bounded set of items per window length, with one lookup table per block."""
 
-    def __init__(self, items: list[tuple[int, str]], weights: dict[int, float]) -> None:
+    def __init__(self, items: list[tuple[int, str]], weights: dict[int, float], least: float = SIMILARITY) -> None:
         codes, n, _, _ = shingles(C.as_array(pa.array([t for _, t in items], pa.large_string())))
         self.ids = [i for i, _ in items]
         self.size = n
@@ -104,6 +108,99 @@ class Index:
                 bounds = np.searchsorted(key[order], np.arange((1 << block) + 1)).astype(np.int32)
                 tables.append((order, bounds))
             self.lengths[length] = (prints, item, offset, tables)
+        shared = sorted(weights)
+        self.shared = np.array(shared, np.uint64), np.array([weights[s] for s in shared], np.float64)
+        anchors = [(s, i) for i in range(len(self.items)) for s in self.anchors(i, least)]
+        anchors.sort()
+        self.anchor_codes, self.anchor_first, self.anchor_many = np.unique(np.array([s for s, _ in anchors], np.uint64), return_index=True, return_counts=True)
+        self.anchor_items = np.array([i for _, i in anchors], np.int64)
+        self.maybe = np.zeros(1 << 20, bool)  # by the highest bits, a quick first look
+        self.maybe[(self.anchor_codes >> np.uint64(44)).astype(np.int64)] = True
+        self.parts = []  # distinct shingles of every item, their counts and weights
+        for c in self.items:
+            keys = np.array(sorted(c), np.uint64)
+            self.parts.append((keys, np.array([c[s] for s in keys.tolist()], np.int64), self.weight_of(keys)))
+
+    def anchors(self, item: int, least: float) -> list[int]:
+        """The rarest shingles of an item, without which no window can reach `least`."""
+        weigh = lambda s: self.weights.get(s, 1.0)
+        mine, out = self.items[item], []
+        rest = sum(weigh(s) * c for s, c in mine.items())
+        enough = least * rest * (1 - 1e-9)
+        for s in sorted(mine, key=lambda s: (-weigh(s), s)):
+            if rest < enough:
+                break
+            out.append(s)
+            rest -= weigh(s) * mine[s]
+        return out
+
+    def weight_of(self, codes: np.ndarray) -> np.ndarray:
+        keys, values = self.shared
+        out = np.ones(len(codes))
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
+            same = keys[at] == codes
+            out[same] = values[at[same]]
+        return out
+
+    def anchored(self, codes: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(row, item, places of the item's anchors in the row), once per pair."""
+        if not len(codes) or not len(self.anchor_codes):
+            return
+        hit = np.flatnonzero(self.maybe[(codes >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.anchor_codes, codes[hit]), len(self.anchor_codes) - 1)
+        same = self.anchor_codes[at] == codes[hit]
+        hit, at = hit[same], at[same]
+        first, row = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)[hit]
+        size, lo = np.cumsum(self.anchor_many[at]), 0
+        while lo < len(hit):  # whole rows, about a million finds at a time
+            done = size[lo - 1] if lo else 0
+            hi = max(int(np.searchsorted(size, done + (1 << 20), side="right")), lo + 1)
+            hi = int(np.searchsorted(row, row[hi - 1], side="right"))
+            many = self.anchor_many[at[lo:hi]]
+            w = np.repeat(np.arange(lo, hi), many)
+            item = self.anchor_items[np.repeat(self.anchor_first[at[lo:hi]], many) + np.arange(len(w)) - np.repeat(np.cumsum(many) - many, many)]
+            pair = row[w] * np.int64(len(self.items)) + item
+            order = np.argsort(pair, kind="stable")
+            pair, place = pair[order], (hit[w] - first[row[w]])[order]
+            cuts = np.flatnonzero(np.diff(pair)) + 1
+            for key, places in zip(pair[np.concatenate([[0], cuts])].tolist(), np.split(place, cuts), strict=True):
+                yield key // len(self.items), key % len(self.items), places
+            lo = hi
+
+    def best_start(self, item: int, row: np.ndarray, places: np.ndarray, least: float) -> Iterator[int]:
+        """Start of the most similar item-sized window in every stretch of windows that hold one of the places, at `least` or more."""
+        keys, count, weight = self.parts[item]
+        size = min(int(self.size[item]), len(row))
+        whole = float((count * weight).sum())
+        cuts = np.flatnonzero(np.diff(places) > size) + 1
+        for run in np.split(places, cuts):
+            begin, last = max(int(run[0]) - size + 1, 0), min(int(run[-1]), len(row) - size)
+            part, starts = row[begin : last + size], last - begin + 1
+            if starts <= 0:
+                continue
+            at = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
+            q = np.flatnonzero(keys[at] == part)
+            own = at[q]
+            there = np.minimum(np.bincount(own, minlength=len(keys)), count)
+            if (there * weight).sum() < least * whole * (1 - 1e-9):
+                continue
+            # an occurrence counts from the window that starts behind the one `count` places before it
+            order = np.argsort(own, kind="stable")
+            q, own = q[order], own[order]
+            nth = np.arange(len(own)) - np.searchsorted(own, own)
+            need = count[own]
+            before = np.where(nth >= need, q[np.maximum(np.arange(len(q)) - need, 0)], -1)
+            low, high = np.maximum(before + 1, q - size + 1), np.minimum(q, starts - 1)
+            low = np.maximum(low, 0)
+            fit = low <= high
+            gain = np.bincount(low[fit], weights=weight[own[fit]], minlength=starts + 1) - np.bincount(high[fit] + 1, weights=weight[own[fit]], minlength=starts + 1)
+            both = np.cumsum(gain)[:starts]
+            total = np.concatenate([[0.0], np.cumsum(self.weight_of(part))])
+            similar = both / (whole + total[size : size + starts] - total[:starts] - both)
+            top = similar.max()
+            if top >= least - 1e-9:
+                yield begin + int(np.argmax(similar >= top - 1e-9))
 
     def places(self, codes: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Distinct (row, item, start of the item-sized window) that some fingerprint points at."""
@@ -144,7 +241,10 @@ class Index:
         """(row, item id, similarity, first word, shingles) of the best window per row and item at `least` or more."""
         codes, n, place, _ = shingles(text)
         first, best = np.cumsum(n) - n, {}
-        for row, item, start in self.places(codes, n).tolist():
+        finds = self.places(codes, n).tolist()
+        for row, item, places in self.anchored(codes, n):
+            finds += [(row, item, a) for a in self.best_start(item, codes[first[row] : first[row] + n[row]], places, least)]
+        for row, item, start in sorted(map(tuple, finds)):
             size, have = int(self.size[item]), int(n[row])
             a = min(max(start, 0), max(have - size, 0))
             window = codes[first[row] + a : first[row] + min(a + size, have)]
@@ -156,7 +256,7 @@ class Index:
             yield row, item, s, at, size
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, least: float = SIMILARITY) -> Iterator[Index]:
     """One index per `ITEMS` items; items are dealt by a hash, so each list is bounded."""
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     parts = max(1, -(-items.count() // ITEMS))
@@ -167,7 +267,7 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
         held = Counter()
         for e, c in zip(np.cumsum(n), n, strict=True):
             held.update(set(codes[e - c : e].tolist()))
-        yield Index(listed, {s: 1.0 / c for s, c in held.items() if c > 1})
+        yield Index(listed, {s: 1.0 / c for s, c in held.items() if c > 1}, least)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -176,7 +276,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     names = ["doc_id", "item_id", "similarity", "first_word", "n_shingles"]
     kinds = [kind, T.LongType(), T.DoubleType(), T.LongType(), T.LongType()]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, least):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -199,7 +299,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILAR
     """The rows of `docs` without a benchmark item in their text; no shuffle."""
     spark, out = docs.sparkSession, docs
     place = docs.columns.index("text")
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, least):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

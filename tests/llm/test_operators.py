@@ -177,6 +177,41 @@ def test_every_fingerprint_within_the_radius_is_found():
         assert k in hits
 
 
+def brute_similarity(index, item, codes):
+    size = int(index.size[item])
+    return max((index.similarity(item, codes[a : a + size]) for a in range(max(len(codes) - size, 0) + 1)), default=0.0)
+
+
+@pytest.mark.parametrize("size", [20, 50, 55, 59, 80, 100, 200])
+def test_edits_at_every_position_match_brute_force(size):
+    """One or two words changed, added, left out or moved anywhere: found exactly if some window reaches the limit."""
+    r = np.random.default_rng(size)
+    some = lambda k: [f"w{x}" for x in r.integers(0, 5000, k)]
+    base = some(size)
+    items = [(1, " ".join(base)), (2, " ".join([*base[: size // 3], *some(size - size // 3)])), (3, "again and again " * 9), (4, "too short")]
+    held = Counter()
+    for _, text in items:
+        held.update(set(decontamination.shingles(C.as_array(pa.array([text])))[0].tolist()))
+    index = decontamination.Index(items, {s: 1 / c for s, c in held.items() if c > 1})
+    texts = []
+    for at in range(size):
+        other = (at + size // 3) % size
+        one, two, added, cut = ([*base] for _ in range(4))
+        one[at] = two[at] = two[other] = "changed"
+        added[at:at] = ["added"]
+        del cut[at]
+        texts += [[*some(at % 7), *t, *some(at % 11)] for t in (one, two, added, cut, base[at:] + base[:at])]
+    texts += [["again"] * 40, "and again again again and again again and".split() * 3, base[: size - 3], [*base, *some(300), *base[1:]]]
+    text = C.as_array(pa.array([" ".join(t) for t in texts]))
+    codes, n, _, _ = decontamination.shingles(text)
+    ends = np.cumsum(n)
+    found = {(row, item): s for row, item, s, _, _ in index.matches(text, 0.8)}
+    for row in range(len(texts)):
+        for item in range(len(items)):
+            s = brute_similarity(index, item, codes[ends[row] - n[row] : ends[row]])
+            assert abs(found.get((row, item + 1), 0.0) - (s if s >= 0.8 else 0.0)) < 1e-9
+
+
 # --- Jaccard join --------------------------------------------------------------------
 def brute_components(texts, n_words, share):
     sets = []
