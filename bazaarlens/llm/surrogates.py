@@ -2,7 +2,8 @@
 
 Detection is one alternation of patterns (`PATTERN`): addresses of mail, phone, card, bank account, social security and IP
 numbers, access keys, and names behind a title. Two spellings are one entity if their normal forms agree: lower case for
-mail and keys, letters and digits only for numbers, name words and gender for names.
+mail and keys, letters and digits only for numbers, all eight groups for IPv6, gender and one word for names: every word of a
+name is an entity of its own, so "Mr John Smith" and a later "Mr Smith" get the same surname.
 
 A surrogate is drawn from a keyed hash of (type, normal form, attempt): digits become digits, letters become letters of
 their script, case and punctuation stay; cards keep the issuer digit and a valid check digit, phones the country code, IP
@@ -28,8 +29,8 @@ KEY = "corpus-surrogates-1"
 ATTEMPTS = 64
 
 # --- fixed values: titles and their gender, alphabets, patterns ----------------
-MALE = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "Don"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Señorita", "Madame", "Mme", "Mlle", "Doña"]
+MALE = ["Mr", "Herr", "Señor", "Senor", "Sr", "Monsieur", "Don"]
+FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Senora", "Sra", "Señorita", "Senorita", "Madame", "Mme", "Mlle", "Doña", "Dona"]
 OTHER = ["Dr", "Prof"]
 DIGITS, LATIN = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 GREEK, CYRILLIC = "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзиклмнопрстуфхцчшэюя"
@@ -45,20 +46,33 @@ ENDINGS = {
 }
 
 # the first letters are looked at before anything else, as the pattern is tried at every character
-TITLE = r"(?=[" + "".join(sorted({t[0] for t in MALE + FEMALE + OTHER})) + r"])(?<!\p{L})(?:" + "|".join(MALE + FEMALE + OTHER) + r")\.? "
+_TITLES = "(?:" + "|".join(MALE + FEMALE + OTHER) + r")\.?"
+GAP = r"[ \t\x{A0}]++"
+TITLE = r"(?=[" + "".join(sorted({t[0] for t in MALE + FEMALE + OTHER})) + r"])(?<!\p{L})(?:" + _TITLES + r"(?:[ \t\x{A0}]|\r?\n)++)+"
+# a word of a name: O'Brien, d'Angelo, al-Rashid, Mary-Jane, McDonald, LOPEZ (without a possessive 's); J. or J before another
+INITIAL = r"(?:\p{Lu}\.-?)+(?=" + GAP + r"\p{L}|\p{Lu}\p{L})|\p{Lu}(?=" + GAP + r"\p{Lu})"
+WORD = r"(?:\p{L}{1,2}['’]|\p{Ll}{2,3}-)?\p{Lu}[\p{L}\p{M}]++(?:(?:['’](?!S(?!\p{L}))(?=\p{Lu})|-(?=\p{L}))[\p{L}\p{M}]++)*+"
+PARTICLE = r"(?:de|da|do|di|del|della|der|den|des|dos|das|du|la|las|los|le|lo|el|al|van|von|vom|zu|zur|zum|ten|ter|te|bin|ben|ibn|bint|af|av|y|e)" + GAP
+_NAMED = r"(?:" + PARTICLE + r"){0,4}(?!" + _TITLES + r"(?!\p{L}))(?:" + INITIAL + "|" + WORD + ")"
+NAME = _NAMED + "(?:(?:" + GAP + r"|(?<=\.))" + _NAMED + ")*"
+# the words of a name that are replaced; particles and blanks stay
+NAME_WORD = r"(?<![\p{L}\p{M}'’\-])(?:(?:\p{Lu}\.-?)+|" + WORD + r"|\p{Lu}(?![\p{L}\p{M}]))"
+_H, _V4 = "[0-9A-Fa-f]{1,4}", r"(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_GROUPED = "|".join(f"0[0-9]{{1,4}}(?:{c}[0-9]{{2,8}}){{1,5}}" for c in (" ", r"\.", "-", "/"))
 KINDS = {
     "mail": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
-    "name": TITLE + r"\p{Lu}\p{L}+(?: \p{Lu}\p{Ll}+)?",
-    "key": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|xox[bp])[_\-][\p{Alnum}_\-]{16,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
+    "name": TITLE + NAME,
+    "key": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|(?:sk|pk|ghp|xox[bp])[_\-][\p{Alnum}_\-]{16,}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}.\-/])(?:1[ .\-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![\p{L}\p{N}\-])|(?<![\p{L}\p{N}.\-/])(?=0(?:[ .\-/]?[0-9]){8,12}(?![ .\-/]?[0-9]))(?:" + _GROUPED + r")(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}\-])",
     "card": r"(?<![\p{L}\p{N}])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3})(?![\p{L}\p{N}])",
+    "ip6": r"(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:" + _H + ":){7}" + _H + r"|(?=(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Fa-f:]))(?:" + _H + "(?::" + _H + ")*+)?::(?:" + _H + "(?::" + _H + r")*+)?|::(?:[Ff]{4}:)?" + _V4 + r")(?![\p{L}\p{N}:]|\.[0-9])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Every entity holds one of these, most texts none: a quick first look.
-HINT = r"[0-9@]|" + TITLE + r"\p{Lu}|(?:sk|pk|ghp|xox[bp])[_\-]\p{Alnum}|AKIA[A-Z]|[a-fA-F]{32}"
+HINT = r"[0-9@]|" + TITLE + r"\p{L}|(?:sk|pk|ghp|xox[bp])[_\-]\p{Alnum}|AKIA[A-Z]|[a-fA-F]{32}"
 BARE = r"[^\p{L}\p{N}]"
 
 
@@ -79,19 +93,32 @@ def kind_of(form: Column) -> Column:
 
 
 def gender_of(form: Column) -> Column:
-    title = F.regexp_extract(form, r"^(\p{L}+)\.? ", 1)
+    title = F.regexp_extract(form, r"^(\p{L}+)", 1)
     return F.when(title.isin(MALE), "m").when(title.isin(FEMALE), "f").otherwise("n")
 
 
 def normal_form(kind: Column, form: Column) -> Column:
-    name = F.concat(gender_of(form), F.lit(":"), F.lower(F.regexp_replace(form, TITLE, "")))
     return (
         F.when(kind.isin("mail", "key", "ip"), F.lower(form))
-        .when(kind == "name", name)
+        .when(kind == "ip6", groups_of(F.lower(form)))
         .otherwise(F.lower(F.regexp_replace(form, BARE, "")))
     )
 
 
+def groups_of(address: Column) -> Column:
+    """An IPv6 address with all its groups of four digits; one that ends in an IPv4 address stays."""
+    some = lambda text: F.filter(F.split(text, ":"), lambda g: g != "")
+    left, right = some(F.substring_index(address, "::", 1)), some(F.substring_index(address, "::", -1))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right))
+    groups = F.when(address.contains("::"), F.concat(left, zeros, right)).otherwise(some(address))
+    return F.when(address.contains("."), address).otherwise(F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ":"))
+
+
+def words_of(form: Column) -> Column:
+    """The replaced words of a name, without its titles."""
+    return F.regexp_extract_all(F.regexp_replace(form, f"^{TITLE}", ""), F.lit(NAME_WORD), F.lit(0))
+
+
 def stream(kind: Column, normal: Column, attempt: Column, key: str) -> Column:
     """Keyed hex digits, four for every character of the normal form."""
     blocks = F.sequence(F.lit(0), F.floor(F.length(normal) / 16).cast("int"))
@@ -142,15 +169,17 @@ def substituted(normal: Column, hexes: Column, fixed: Column, held: Column) -> C
 
 
 def named(normal: Column, hexes: Column) -> Column:
-    gender, words = F.substring(normal, 1, 1), F.split(F.substring(normal, 3, 1 << 20), " ")
+    """A word of syllables with the ending of its gender, in the script of `normal`."""
+    gender = F.substring(normal, 1, 1)
 
-    def word(w: Column, j: Column, script: str) -> Column:
-        parts = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.get(F.array(*map(F.lit, SYLLABLES[script])), drawn(hexes, j * 4 + k, len(SYLLABLES[script]))))
-        end = F.when(gender == "m", ENDINGS[script]["m"]).when(gender == "f", ENDINGS[script]["f"]).otherwise(ENDINGS[script]["n"])
+    def word(script: str) -> Column:
+        syllables, ends = SYLLABLES[script], ENDINGS[script]
+        parts = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.get(F.array(*map(F.lit, syllables)), drawn(hexes, k, len(syllables))))
+        end = F.when(gender == "m", ends["m"]).when(gender == "f", ends["f"]).otherwise(ends["n"])
         return F.concat(F.array_join(parts, ""), end)
 
-    of_script = lambda w, j: F.when(w.rlike(r"\p{IsGreek}"), word(w, j, "greek")).when(w.rlike(r"\p{IsCyrillic}"), word(w, j, "cyrillic")).otherwise(word(w, j, "latin"))
-    return F.concat(gender, F.lit(":"), F.array_join(F.transform(words, of_script), " "))
+    of_script = F.when(normal.rlike(r"\p{IsGreek}"), word("greek")).when(normal.rlike(r"\p{IsCyrillic}"), word("cyrillic")).otherwise(word("latin"))
+    return F.concat(gender, F.lit(":"), of_script)
 
 
 def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key: str = KEY) -> Column:
@@ -166,6 +195,7 @@ def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key:
         mail = F.concat(F.substring(plain, F.lit(1), F.length(plain) - F.length(ending)), ending)
         return (
             F.when(kind == "ip", octets)
+            .when(kind == "ip6", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(hexes, i * 4 + 1, F.lit(4))), ":"))
             .when(kind == "name", named(normal, hexes))
             .when((kind == "key") & normal.rlike("^[0-9a-f]+$"), hexed)
             .when((kind == "mail") & (at > 0), mail)
@@ -177,13 +207,20 @@ def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key:
 
 
 def written(kind: Column, form: Column, standin: Column) -> Column:
-    """The surrogate in the spelling of `form`: its case and punctuation, or its title."""
+    """The surrogate in the spelling of `form`: its case and punctuation."""
     bare = letters(F.regexp_replace(standin, BARE, ""))
     start = F.struct(F.lit(0).alias("i"), F.lit("").alias("out"))
 
     spelled = let(bare, lambda b: F.aggregate(letters(form), start, lambda s, c: _put(b, s, c), lambda s: s["out"]))
-    name = F.concat(F.regexp_extract(form, f"^{TITLE}", 0), F.initcap(F.substring(standin, 3, 1 << 20)))
-    return F.when(kind == "name", name).when(kind == "ip", standin).otherwise(spelled)
+    return F.when(kind.isin("ip", "ip6"), standin).otherwise(spelled)
+
+
+def written_name(form: Column, standins: Column) -> Column:
+    """Titles, particles and blanks of `form` with the stand-ins of its words, in order."""
+    title = F.regexp_extract(form, f"^{TITLE}", 0)
+    between = F.split(F.substring(form, F.length(title) + 1, F.length(form)), NAME_WORD, -1)
+    parts = F.zip_with(between, standins, lambda a, b: F.concat(a, F.initcap(F.coalesce(F.substring(b, 3, 1 << 20), F.lit("")))))
+    return F.concat(title, F.array_join(parts, ""))
 
 
 def _put(bare: Column, s: Column, c: Column) -> Column:
@@ -229,8 +266,16 @@ def replaced(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataF
     forms_in = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     found = C.staged(docs.where(has).select(mark.alias("__mark"), F.explode(F.array_distinct(forms_in)).alias("form")), "found")
     kinds = found.groupBy("form").agg(F.lit(1).alias("_")).select("form", kind_of(F.col("form")).alias("kind"))
-    forms = C.staged(kinds.withColumn("normal", normal_form(F.col("kind"), F.col("form"))), "forms")
-    spelled = forms.join(assigned(forms, key), ["kind", "normal"]).select("form", written(F.col("kind"), F.col("form"), F.col("standin")).alias("new"))
+    kinds = C.staged(kinds, "kinds")
+    kind, form = F.col("kind"), F.col("form")
+    plain = kinds.where("kind <> 'name'").select("form", "kind", F.lit(0).alias("at"), normal_form(kind, form).alias("normal"))
+    words = kinds.where("kind = 'name'").select("form", "kind", F.posexplode(words_of(form)).alias("at", "word"))
+    named_words = words.select("form", "kind", "at", F.concat(gender_of(form), F.lit(":"), F.lower("word")).alias("normal"))
+    forms = C.staged(plain.unionAll(named_words), "forms")
+    met = C.staged(forms.join(assigned(forms, key), ["kind", "normal"]).select("form", "kind", "at", "standin"), "met")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "standin"))), lambda x: x["standin"])
+    names = met.where("kind = 'name'").groupBy("form").agg(ordered.alias("standins")).select("form", written_name(form, F.col("standins")).alias("new"))
+    spelled = met.where("kind <> 'name'").select("form", written(kind, form, F.col("standin")).alias("new")).unionAll(names)
     # a document's own list of replacements
     own = found.distinct().join(C.staged(spelled, "spelled"), "form").groupBy("__mark").agg(F.map_from_entries(F.collect_list(F.struct("form", "new"))).alias("__new"))
     hit = docs.where(has).withColumn("__mark", mark).join(own, "__mark")

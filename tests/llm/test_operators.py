@@ -114,6 +114,25 @@ def test_surrogates_stay_distinct_when_drawings_collide(spark, monkeypatch):
     assert len(got) == 20 == len({r["standin"] for r in got}) and not {r["standin"] for r in got} & {r["normal"] for r in got}
 
 
+def test_surrogates_take_whole_entities(spark):
+    names = {
+        "Dr Anna Maria Lopez": "Anna Maria Lopez", "Dr Anna LOPEZ": "LOPEZ", "Mrs Mary-Jane Watson": "Jane Watson", "Mr Ronald McDonald": "Donald", "Mr O'Brien": "Brien", "Senor de la Cruz": "Cruz",
+        "Mr J. R. Tolkien": "Tolkien", "Prof. Dr. Max von Bergen": "Max Bergen", "Mr John F Kennedy": "Kennedy", "Señor Ortega y Gasset": "Ortega Gasset",
+    }
+    others = ["555-123-4567", "555 123 4567", "(555) 123 4567", "030 12345678", "06 12 34 56 78", "2001:db8::7:1", "fe80:0:0:0:1:2:3:4", "0a1b" * 40, "sk-" + "Ab1_" * 50]
+    texts = [*(f"Then {n} left." for n in names), *(f"see {x}, now" for x in others), "Mr John Smith met Herr Schmidt und Frau Braun. Later Mr Smith's dog, and Mr Smith.", "std::vector a::b 12:30:45 01.02.2024 2024-01-02 1-2-3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r["text"] for r in surrogates.replaced(docs).orderBy("doc_id").collect()]
+    for (name, gone), text in zip(names.items(), out, strict=False):
+        assert text.startswith("Then " + name.split()[0]) and text.endswith(" left.") and not any(w in text for w in gone.split()), text
+    assert " de la " in out[5] and "Prof. Dr. " in out[7] and " von " in out[7] and " y " in out[9]
+    for x, text in zip(others, out[len(names) :], strict=False):
+        assert text.startswith("see ") and text.endswith(", now") and x not in text and len(text) >= len(x), text
+    story = re.fullmatch(r"Mr (\w+) (\w+) met Herr (\w+) und Frau (\w+)\. Later Mr (\w+)'s dog, and Mr (\w+)\.", out[-2])
+    assert story and story[2] == story[5] == story[6] and not {"John", "Smith", "Schmidt", "Braun"} & set(story.groups()), out[-2]
+    assert out[-1] == texts[-1]
+
+
 # --- mixing ----------------------------------------------------------------------
 def test_targets_are_shared_again_above_the_limit():
     t = mixing.source_targets([("a", 10), ("b", 1000), (None, 90)])
