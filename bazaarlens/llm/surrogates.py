@@ -9,7 +9,8 @@ A surrogate is drawn from a keyed hash of (type, normal form, attempt): digits b
 their script, case and punctuation stay; cards keep the issuer digit and a valid check digit, phones the country code, IP
 octets stay in range; names keep title, number of words and script and end as names of their gender do. Distinct entities
 must get distinct surrogates, none of which is the normal form of a real entity: the drawing is repeated with the next
-attempt for those that collide, until none does. Hence every occurrence in every document gets the same surrogate.
+attempt for those that collide, until none does. The supply has no bound: with the attempts, names get more syllables and
+mails a longer local part; should all numbers of a format be taken, further digits follow (an IPv6 address for an IPv4 one). Hence every occurrence in every document gets the same surrogate.
 
 Only entities are shuffled, first grouped by form. Documents without an entity pass without a shuffle; those with one meet
 the list of their own replacements by a key of id and text.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from bazaarlens.llm import common as C
 
 KEY = "corpus-surrogates-1"
-ATTEMPTS = 64
+#: Attempts after which names and mails, and after which other entities grow by one more character or syllable.
+GROW, GROW_FORMAT = 4, 16
 
 # --- fixed values: titles and their gender, alphabets, patterns ----------------
 MALE = ["Mr", "Herr", "Señor", "Senor", "Sr", "Monsieur", "Don"]
@@ -168,13 +170,21 @@ def substituted(normal: Column, hexes: Column, fixed: Column, held: Column) -> C
     return F.array_join(F.transform(letters(normal), one), "")
 
 
-def named(normal: Column, hexes: Column) -> Column:
-    """A word of syllables with the ending of its gender, in the script of `normal`."""
+def further(hexes: Column, n: Column, digits: bool) -> Column:
+    """n more digits or letters of a stream."""
+    to = DIGITS + "012345" if digits else LATIN[:16]
+    one = lambda i: F.translate(F.substring(F.sha2(F.concat_ws("\x1f", hexes, i), 256), 1, 1), "0123456789abcdef", to)
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), one), "")).otherwise("")
+
+
+def named(normal: Column, hexes: Column, more: Column) -> Column:
+    """A word of three syllables and `more`, with the ending of its gender, in the script of `normal`."""
     gender = F.substring(normal, 1, 1)
 
     def word(script: str) -> Column:
         syllables, ends = SYLLABLES[script], ENDINGS[script]
-        parts = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.get(F.array(*map(F.lit, syllables)), drawn(hexes, k, len(syllables))))
+        one = lambda k: F.get(F.array(*map(F.lit, syllables)), drawn(F.sha2(F.concat_ws("\x1f", hexes, k), 256), F.lit(0), len(syllables)))
+        parts = F.transform(F.sequence(F.lit(0), more + 2), one)
         end = F.when(gender == "m", ends["m"]).when(gender == "f", ends["f"]).otherwise(ends["n"])
         return F.concat(F.array_join(parts, ""), end)
 
@@ -185,6 +195,8 @@ def named(normal: Column, hexes: Column) -> Column:
 def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key: str = KEY) -> Column:
     """The normal form that stands in for `normal` at the given attempt."""
 
+    grown = lambda each: F.floor(attempt / each).cast("int")
+
     def body(hexes: Column) -> Column:
         fictional = (kind == "phone") & normal.rlike("^1[0-9]{3}555[0-9]{4}$") & (attempt < 4)
         plain = substituted(normal, hexes, F.when(kind == "card", F.lit(1)).when(kind == "iban", F.lit(2)).otherwise(fixed), fictional)
@@ -192,15 +204,17 @@ def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key:
         hexed = F.substring(F.concat(hexes, F.sha2(hexes, 256)), F.lit(1), F.length(normal))
         at = F.instr(normal, "@")
         ending = F.regexp_extract(normal, r"\.[^.@]+$", 0)
-        mail = F.concat(F.substring(plain, F.lit(1), F.length(plain) - F.length(ending)), ending)
+        mail = F.concat(further(hexes, grown(GROW), False), F.substring(plain, F.lit(1), F.length(plain) - F.length(ending)), ending)
+        more = further(hexes, grown(GROW_FORMAT), True)
+        groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(F.sha2(hexes, 256), i * 4 + 1, F.lit(4))), ":")
         return (
-            F.when(kind == "ip", octets)
-            .when(kind == "ip6", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(hexes, i * 4 + 1, F.lit(4))), ":"))
-            .when(kind == "name", named(normal, hexes))
-            .when((kind == "key") & normal.rlike("^[0-9a-f]+$"), hexed)
+            F.when((kind == "ip") & (attempt < GROW_FORMAT), octets)
+            .when(kind.isin("ip", "ip6"), groups)
+            .when(kind == "name", named(normal, hexes, grown(GROW)))
+            .when((kind == "key") & normal.rlike("^[0-9a-f]+$"), F.concat(hexed, more))
             .when((kind == "mail") & (at > 0), mail)
-            .when((kind == "card") & passes_luhn(normal), with_check_digit(plain))
-            .otherwise(plain)
+            .when((kind == "card") & passes_luhn(normal), with_check_digit(F.concat(plain, more)))
+            .otherwise(F.concat(plain, more))
         )
 
     return let(stream(kind, normal, attempt, key), body)
@@ -208,11 +222,16 @@ def surrogate(kind: Column, normal: Column, attempt: Column, fixed: Column, key:
 
 def written(kind: Column, form: Column, standin: Column) -> Column:
     """The surrogate in the spelling of `form`: its case and punctuation."""
-    bare = letters(F.regexp_replace(standin, BARE, ""))
+    kept = F.regexp_replace(standin, BARE, "")
+    more = F.greatest(F.length(kept) - F.length(F.regexp_replace(form, BARE, "")), F.lit(0))
+    # what a stand-in has more than its form comes first in a mail, else last
+    ahead, behind = F.when(kind == "mail", more).otherwise(0), F.when(kind == "mail", 0).otherwise(more)
+    bare = letters(F.substring(kept, ahead + 1, F.length(kept)))
     start = F.struct(F.lit(0).alias("i"), F.lit("").alias("out"))
 
     spelled = let(bare, lambda b: F.aggregate(letters(form), start, lambda s, c: _put(b, s, c), lambda s: s["out"]))
-    return F.when(kind.isin("ip", "ip6"), standin).otherwise(spelled)
+    whole = F.concat(F.substring(kept, F.lit(1), ahead), spelled, F.substring(kept, F.length(kept) - behind + 1, behind))
+    return F.when(kind.isin("ip", "ip6"), standin).otherwise(whole)
 
 
 def written_name(form: Column, standins: Column) -> Column:
@@ -237,7 +256,7 @@ def assigned(forms: DataFrame, key: str = KEY) -> DataFrame:
     entities = C.staged(entities, "entities")
     real = entities.select("kind", F.col("normal").alias("standin"))
     pending, done, attempt = entities, [], 0
-    while attempt < ATTEMPTS:
+    while attempt == 0 or not pending.isEmpty():
         tried = pending.withColumn("standin", surrogate(F.col("kind"), F.col("normal"), F.lit(attempt), F.col("fixed"), key))
         free = tried.join(real, ["kind", "standin"], "left_anti")
         for earlier in done:
@@ -247,10 +266,6 @@ def assigned(forms: DataFrame, key: str = KEY) -> DataFrame:
         done.append(C.staged(won, "standins"))
         pending = C.staged(pending.join(done[-1], ["kind", "normal"], "left_anti"), "pending")
         attempt += 1
-        if pending.isEmpty():
-            break
-    else:
-        raise ValueError(f"no free surrogates after {ATTEMPTS} attempts")
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)

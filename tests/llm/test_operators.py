@@ -133,6 +133,19 @@ def test_surrogates_take_whole_entities(spark):
     assert out[-1] == texts[-1]
 
 
+def test_surrogates_never_run_out(spark, monkeypatch):
+    """More names than three syllables give, and all mails of one letter before and behind the sign."""
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ["ba", "be"])
+    letters = surrogates.LATIN
+    forms = [("name", f"m:x{a}{b}", None) for a in letters[:4] for b in letters[:10]] + [("mail", f"{a}@{b}.com", f"{a}@{b}.com") for a in letters for b in letters]
+    got = surrogates.assigned(spark.createDataFrame(forms, "kind string, normal string, form string")).collect()
+    assert len(got) == len(forms) == len({(r["kind"], r["standin"]) for r in got}) and not {r["standin"] for r in got} & {n for _, n, _ in forms}
+    for kind, form, normal in [("mail", "A@b.com", "a@b.com"), ("ssn", "123-45-6789", "123456789"), ("ip", "1.2.3.4", "1.2.3.4"), ("card", "4111 1111 1111 1111", "4111111111111111")]:
+        made = lambda a, kind=kind, form=form, normal=normal: surrogates.written(F.lit(kind), F.lit(form), surrogates.surrogate(F.lit(kind), F.lit(normal), F.lit(a), F.lit(0)))
+        first, late = spark.range(1).select(made(0), made(40)).first()
+        assert len(first) <= len(form) + 8 and len(late) > len(form) and (kind != "mail" or re.fullmatch(r"[a-z]{10}[A-Z]@[a-z]\.com", late)), late
+
+
 # --- mixing ----------------------------------------------------------------------
 def test_targets_are_shared_again_above_the_limit():
     t = mixing.source_targets([("a", 10), ("b", 1000), (None, 90)])
