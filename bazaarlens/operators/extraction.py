@@ -88,6 +88,27 @@ def keyword_answer(title: Column, description: Column) -> Column:
     return F.to_json(F.struct(*(c.alias(n) for n, c in members.items())), {"ignoreNullFields": "false"})
 
 
+def keyword_answer_of(title: str, description: str) -> str:
+    """The default extractor as a function of one row."""
+    text = f"{title} {description}"
+    words = lambda t: re.findall(r"[^\W\d_]{4,}", t.lower())
+    said = lambda w: re.search(rf"(^|[\W_]){re.escape(w)}([\W_]|$)", text, re.IGNORECASE) is not None
+    first_of = lambda names: next((n for n in names if said(n)), None)
+    brand = re.search(r"Brand#[0-9]+", title)
+    members = {
+        "category": first_of(fixed.PRODUCT_CATEGORIES),
+        "subcategory": next((w[-1] for w in (words(title), words(description)) if w), None),
+        "brand": brand and brand[0],
+        "material": first_of(MATERIALS),
+        "target_device": first_of(DEVICES),
+        "color": first_of(COLORS),
+        "features": {f"has_{w}": said(w) for w in PARTS},
+        "target_audience": first_of(AUDIENCES),
+        "keywords": list(dict.fromkeys(words(text)))[:KEYWORDS],
+    }
+    return json.dumps(members, ensure_ascii=False, separators=(",", ":"))
+
+
 def extract_batch(texts: DataFrame, extractor: Callable[[str, str], str] | None = None, retries: int = 3) -> DataFrame:
     """Answers for every text. The default extractor is built of SQL functions.
 

@@ -155,10 +155,10 @@ _test_rows = "FROM p_delivery WHERE CAST('0x' || substr(md5(order_id || '-' || C
 
 @query("ml_delivery_rf", f"SELECT order_id, order_item_id, delivery_days, TRUE AS within_training_range {_test_rows}")
 def _(m):
-    """Every test row is predicted; a forest's prediction lies between the smallest and largest target it has seen."""
+    """Prediction of every test row; it lies between the smallest and largest target the forest has seen."""
     seen = split_table(m.spark, m.root).where("part = 'train'").agg(F.min("delivery_days").alias("low"), F.max("delivery_days").alias("high")).first()
     inside = F.col("prediction").between(seen["low"] - 1e-9, seen["high"] + 1e-9)
-    return predictions(m).select("order_id", "order_item_id", "delivery_days", inside.alias("within_training_range"))
+    return predictions(m).select("order_id", "order_item_id", "delivery_days", inside.alias("within_training_range"), F.round("prediction", 4).alias("prediction"))
 
 
 query(
@@ -175,9 +175,10 @@ def _(m):
 
 @query("ml_feature_importance", f"SELECT feature, 1.0::DOUBLE AS total FROM (VALUES {', '.join(f'({chr(39)}{f}{chr(39)})' for f in L.FEATURES)}) v(feature)")
 def _(m):
-    """Every feature, with the sum of all weights (one); weights are not negative."""
+    """Every feature with its importance, in falling order, and the sum of all (one)."""
     weights = L.feature_importance(m.spark, forest(m.spark, m.root))
-    return weights.where("importance >= 0").select("feature", F.round(F.sum("importance").over(W.partitionBy()), 9).alias("total"))
+    total = F.round(F.sum("importance").over(W.partitionBy()), 9)
+    return weights.select("feature", "importance", total.alias("total")).orderBy(F.desc("importance"), "feature")
 
 
 @query("ml_metrics_table")

@@ -73,11 +73,13 @@ def _(m):
 
 @query("udf_batch_extractor", "SELECT product_id, title, TRUE AS same FROM x_answers")
 def _(m):
-    """A caller's function run per batch (here it returns the default answer it is given): every row keeps its answer."""
-    own = X.extract_batch(m.product_texts)
-    given = own.select("product_id", "title", F.col("answer").alias("description"))
-    again = X.extract_batch(given, lambda title, text: text).select("product_id", F.col("answer").alias("again"))
-    return own.join(again, "product_id").select("product_id", "title", (F.col("answer") == F.col("again")).alias("same"))
+    """The answers of a caller's function run per batch, validated and flattened; `same` tells whether the built-in extractor
+    gives the same answer."""
+    own = X.extract_batch(m.product_texts).select("product_id", F.col("answer").alias("built_in"))
+    given = X.flatten(X.validate(X.extract_batch(m.product_texts, X.keyword_answer_of)))
+    same = F.col("raw_features").eqNullSafe(F.col("built_in")).alias("same")
+    rest = [c for c in given.columns if c not in ("product_id", "title")]
+    return given.join(own, "product_id").select("product_id", "title", same, *rest)
 
 
 query(

@@ -326,3 +326,15 @@ def test_default_extractor_matches_whole_words(spark):
     answers = {r["product_id"]: json.loads(r["answer"]) for r in X.extract_batch(texts).collect()}
     assert answers["1"]["color"] is None and answers["1"]["material"] == "Steel" and answers["1"]["target_audience"] == "Women"
     assert answers["1"]["keywords"] == ["steel", "hundred", "women", "bottle", "read"] and answers["2"]["keywords"] == []
+
+
+def test_learning_and_extraction_queries_return_their_results(spark, root):
+    import __spark_entry__ as entry
+    from bazaarlens.queries.q09_learning import forest
+
+    predicted = entry.queries()["ml_delivery_rf"](spark, root).collect()
+    assert predicted and all(r["within_training_range"] and r["prediction"] >= 0 for r in predicted)
+    weights = [r["importance"] for r in entry.queries()["ml_feature_importance"](spark, root).collect()]
+    assert weights == sorted(weights, reverse=True) and sorted(weights) == sorted(forest(spark, root).stages[-1].featureImportances.toArray().tolist())
+    answers = entry.queries()["udf_batch_extractor"](spark, root).collect()
+    assert answers and all(r["same"] and r["llm_keywords_count"] is not None and r["raw_features"] for r in answers)
