@@ -130,7 +130,7 @@ def trusted_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
         count("product_description_lenght").alias("product_description_length"),
         count("product_photos_qty").alias("product_photos_qty"),
         *[number(c).alias(c) for c in ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]],
-    ).withColumn("product_volume_cm3", F.round(F.expr("try_multiply(try_multiply(cast(product_length_cm as bigint), product_height_cm), product_width_cm)"), 2))
+    ).withColumn("product_volume_cm3", F.round(F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm"), 2))
 
 
 def trusted_sellers(raw: DataFrame) -> DataFrame:

@@ -58,41 +58,62 @@ MATERIALS = ["Leather", "Steel", "Cotton", "Plastic"]
 DEVICES = ["Phone", "Tablet", "Laptop"]
 COLORS = ["Black", "Red", "Blue", "White"]
 AUDIENCES = ["Women", "Men", "Unisex"]
-PARTS = ["ring", "bolt", "gear"]
+PARTS = ["bolt", "gear", "ring"]
 KEYWORDS = 8
 
 
-def says(text: Column, word: str) -> Column:
-    """Whether a text holds a word or phrase, whole and in any case."""
+def says(tokens: Column, text: Column, word: str) -> Column:
+    """Whether a text holds a word or phrase, whole and in any case. `tokens` are the distinct lower-case runs of letters and
+    digits of the text, cut once for all words; only a phrase whose letters occur at all is matched by a pattern."""
+    if re.fullmatch(r"[A-Za-z0-9]+", word):
+        return F.array_contains(tokens, word.lower())
     plain = re.sub(r"([^\w ])", r"\\\1", word)
-    return text.rlike(rf"(?i)(^|[^\p{{L}}\p{{N}}]){plain}([^\p{{L}}\p{{N}}]|$)")
+    whole = text.rlike(rf"(?i)(^|[^\p{{L}}\p{{N}}]){plain}([^\p{{L}}\p{{N}}]|$)")
+    return F.when(F.contains(F.lower(text), F.lit(word.lower())), whole).otherwise(False)
 
 
-def keyword_answer(title: Column, description: Column) -> Column:
-    """Answer of the default extractor, as JSON: known words, whole, in the title and description."""
-    text = F.concat_ws(" ", title, description)
+def keyword_answers(texts: DataFrame) -> DataFrame:
+    """`texts` with the answer of the default extractor in `answer`, as JSON: known words, whole, in the title and description.
+
+    Tokens and words are cut once per row, in a projection of their own.
+    """
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}{4,}"), F.lit(0))
-    last = lambda c: F.get(words(c), F.size(words(c)) - 1)
-    first_of = lambda names: F.coalesce(*(F.when(says(text, n), F.lit(n)) for n in names))
+    both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))
+    cut = texts.withColumns(
+        {
+            "_text": both,
+            "_tokens": F.array_distinct(F.split(F.lower(both), r"[^\p{L}\p{N}]+")),
+            "_first": words(F.coalesce("title", F.lit(""))),
+            "_then": words(F.coalesce("description", F.lit(""))),
+        }
+    )
+    text, tokens = F.col("_text"), F.col("_tokens")
+    last = lambda c: F.get(c, F.size(c) - 1)
+    first_of = lambda names: F.coalesce(*(F.when(says(tokens, text, n), F.lit(n)) for n in names))
     members = {
         "category": first_of(fixed.PRODUCT_CATEGORIES),
-        "subcategory": F.coalesce(last(title), last(description)),
-        "brand": F.nullif(F.regexp_extract(title, r"Brand#[0-9]+", 0), F.lit("")),
+        "subcategory": F.coalesce(last("_first"), last("_then")),
+        "brand": F.nullif(F.regexp_extract(F.coalesce("title", F.lit("")), r"Brand#[0-9]+", 0), F.lit("")),
         "material": first_of(MATERIALS),
         "target_device": first_of(DEVICES),
         "color": first_of(COLORS),
-        "features": F.struct(*(says(text, w).alias(f"has_{w}") for w in PARTS)),
+        "features": F.struct(*(says(tokens, text, w).alias(f"has_{w}") for w in PARTS)),
         "target_audience": first_of(AUDIENCES),
-        "keywords": F.slice(F.array_distinct(words(text)), 1, KEYWORDS),
+        "keywords": F.slice(F.array_distinct(F.concat("_first", "_then")), 1, KEYWORDS),
     }
-    return F.to_json(F.struct(*(c.alias(n) for n, c in members.items())), {"ignoreNullFields": "false"})
+    answer = F.to_json(F.struct(*(c.alias(n) for n, c in members.items())), {"ignoreNullFields": "false"})
+    return cut.withColumn("answer", answer).drop("_text", "_tokens", "_first", "_then")
 
 
 def keyword_answer_of(title: str, description: str) -> str:
     """The default extractor as a function of one row."""
     text = f"{title} {description}"
     words = lambda t: re.findall(r"[^\W\d_]{4,}", t.lower())
-    said = lambda w: re.search(rf"(^|[\W_]){re.escape(w)}([\W_]|$)", text, re.IGNORECASE) is not None
+    folded = text.lower()
+    tokens = set(re.findall(r"[^\W_]+", folded))
+    single = lambda w: re.fullmatch(r"[A-Za-z0-9]+", w) is not None
+    whole = lambda w: w.lower() in folded and re.search(rf"(^|[\W_]){re.escape(w)}([\W_]|$)", text, re.IGNORECASE) is not None
+    said = lambda w: w.lower() in tokens if single(w) else whole(w)
     first_of = lambda names: next((n for n in names if said(n)), None)
     brand = re.search(r"Brand#[0-9]+", title)
     members = {
@@ -109,17 +130,24 @@ def keyword_answer_of(title: str, description: str) -> str:
     return json.dumps(members, ensure_ascii=False, separators=(",", ":"))
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Deal the rows of a table that lies in fewer files than there are cores over all cores; others stay as they are, so a
+    large table is not moved."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(2 * cores) if len(texts.inputFiles()) < cores else texts
+
+
 def extract_batch(texts: DataFrame, extractor: Callable[[str, str], str] | None = None, retries: int = 3) -> DataFrame:
     """Answers for every text. The default extractor is built of SQL functions.
 
     A caller's function is run per Arrow batch; a failing row is retried and then reported as FAILED. That work is one map
-    over the partitions of `texts`; repartition before it to spread slow calls.
+    over the partitions of `texts`; `spread` deals few large files over all cores.
     """
     if extractor is None:
-        title, text = (F.coalesce(c, F.lit("")) for c in ("title", "description"))
-        answered = texts.select("product_id", "title", F.lit("SUCCESS").alias("extraction_status"), F.lit(1).alias("attempts"), keyword_answer(title, text).alias("answer"), (F.length(title) + F.length(text)).alias("_n"))
         quarter = lambda n, name: F.floor(n / 4).cast("long").alias(name)
-        return answered.select("product_id", "title", "extraction_status", "attempts", "answer", quarter(F.col("_n"), "input_tokens"), quarter(F.length("answer"), "output_tokens"))
+        size = F.coalesce(F.length("title"), F.lit(0)) + F.coalesce(F.length("description"), F.lit(0))
+        asked = keyword_answers(texts.select("product_id", "title", "description"))
+        return asked.select("product_id", "title", F.lit("SUCCESS").alias("extraction_status"), F.lit(1).alias("attempts"), "answer", quarter(size, "input_tokens"), quarter(F.length("answer"), "output_tokens"))
 
     def attempt(title: str, description: str) -> tuple[str, int, str | None]:
         for n in range(1, retries + 1):

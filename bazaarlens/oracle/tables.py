@@ -122,7 +122,7 @@ lib.add("l_products", """
 SELECT product_id, product_category_name, CAST(product_name_lenght AS VARCHAR) AS product_name_lenght,
   CAST(product_description_lenght AS VARCHAR) AS product_description_lenght, CAST(product_photos_qty AS VARCHAR) AS product_photos_qty,
   CASE WHEN CAST(product_id AS BIGINT) % 45 = 0 THEN 'heavy' ELSE CAST(product_weight_g AS VARCHAR) END AS product_weight_g,
-  CAST(product_length_cm AS VARCHAR) AS product_length_cm, CAST(product_height_cm AS VARCHAR) AS product_height_cm,
+  CASE WHEN CAST(product_id AS BIGINT) % 47 = 0 THEN '10.5' ELSE CAST(product_length_cm AS VARCHAR) END AS product_length_cm, CAST(product_height_cm AS VARCHAR) AS product_height_cm,
   CAST(product_width_cm AS VARCHAR) AS product_width_cm
 FROM m_products
 """)

@@ -206,7 +206,7 @@ query(
 # monitors: profile of the raw layer against the clean layer of the same table
 _prof = lambda src, cols: " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{k}' AS kind, count(*) AS n FROM {src}" for c, k in cols.items())
 _raw_cols = {c: "string" for c in COLUMNS["products"][1]}
-_clean_cols = {"product_id": "string", "product_category_name": "string", **{c: "int" for c in C.PRODUCT_NUMBERS}, "product_volume_cm3": "int", "product_category_name_english": "string"}
+_clean_cols = {"product_id": "string", "product_category_name": "string", **{c: "int" for c in C.PRODUCT_NUMBERS}, "product_volume_cm3": "bigint", "product_category_name_english": "string"}
 query(
     "dq_monitors",
     f"""SELECT coalesce(a.column_name, b.column_name) AS column_name, a.kind AS type_before, b.kind AS type_now, a.n AS rows_before, b.n AS rows_now,

@@ -13,12 +13,9 @@ from bazaarlens.oracle.registry import query
 from bazaarlens.oracle.tables import lib
 
 _j = "CASE WHEN json_valid(answer) THEN answer::JSON END"
-lib.add(
-    "x_parsed",
-    f"""SELECT product_id, title, answer, input_tokens, output_tokens, j, json_type(j) = 'OBJECT' AS ok, json_keys(j) AS keys, {', '.join(f"json_extract_string(j, '$.{f}') AS llm_{f}" for f in X.TEXT_FIELDS)},
+_parsed = lambda answers: f"""SELECT product_id, title, answer, input_tokens, output_tokens, j, json_type(j) = 'OBJECT' AS ok, json_keys(j) AS keys, {', '.join(f"json_extract_string(j, '$.{f}') AS llm_{f}" for f in X.TEXT_FIELDS)},
     json_type(j, '$.features') AS fk, json_type(j, '$.keywords') AS kk, CASE WHEN json_type(j, '$.features') = 'OBJECT' THEN json_extract(j, '$.features') END AS fo,
-    CASE WHEN json_type(j, '$.keywords') = 'ARRAY' THEN CAST(json_extract(j, '$.keywords') AS VARCHAR[]) END AS kw FROM (SELECT *, {_j} AS j FROM m_answers)""",
-)
+    CASE WHEN json_type(j, '$.keywords') = 'ARRAY' THEN CAST(json_extract(j, '$.keywords') AS VARCHAR[]) END AS kw FROM (SELECT *, {_j} AS j FROM {answers})"""
 _kind = lambda c: f"CASE {c} WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'scalar' END"
 _absent = f"list_filter({list(fixed.EXTRACTED_FIELDS)}, lambda f: NOT list_contains(keys, f))"
 _odd = "list_sort(list_filter(json_keys(fo), lambda k: json_type(fo, '$.' || k) <> 'BOOLEAN'))"
@@ -29,17 +26,15 @@ _cats = q.in_list(fixed.PRODUCT_CATEGORIES)
 _warn = f"""list_filter([CASE WHEN len({_odd}) > 0 THEN 'Valores nao-booleanos em features: ' || array_to_string({_odd}, ', ') END,
   CASE WHEN len(kw) < 2 THEN 'Poucas keywords: ' || CAST(len(kw) AS VARCHAR) END, CASE WHEN len(kw) > 10 THEN 'Muitas keywords: ' || CAST(len(kw) AS VARCHAR) END,
   CASE WHEN llm_category <> '' AND llm_category NOT IN {_cats} THEN 'Categoria ''' || llm_category || ''' nao esta na lista padrao' END], lambda x: x IS NOT NULL)"""
-lib.add(
-    "x_valid",
-    f"""SELECT *, CASE WHEN coalesce(ok, FALSE) THEN 'SUCCESS' ELSE 'FAILED' END AS extraction_status, CASE WHEN ok THEN {_issues} END AS issues, CASE WHEN ok THEN {_warn} END AS warnings, coalesce(ok AND len({_issues}) = 0, FALSE) AS is_valid FROM x_parsed""",
-)
-lib.add(
-    "x_flat",
-    f"""SELECT product_id, title, extraction_status, is_valid, CASE WHEN len(issues) > 0 THEN array_to_string(issues, '; ') END AS validation_issues, CASE WHEN len(warnings) > 0 THEN array_to_string(warnings, '; ') END AS validation_warnings,
+_valid = lambda parsed: f"""SELECT *, CASE WHEN coalesce(ok, FALSE) THEN 'SUCCESS' ELSE 'FAILED' END AS extraction_status, CASE WHEN ok THEN {_issues} END AS issues, CASE WHEN ok THEN {_warn} END AS warnings, coalesce(ok AND len({_issues}) = 0, FALSE) AS is_valid FROM {parsed}"""
+_flat = lambda valid: f"""SELECT product_id, title, extraction_status, is_valid, CASE WHEN len(issues) > 0 THEN array_to_string(issues, '; ') END AS validation_issues, CASE WHEN len(warnings) > 0 THEN array_to_string(warnings, '; ') END AS validation_warnings,
     {', '.join('llm_' + f for f in X.TEXT_FIELDS)}, CASE WHEN ok THEN CAST(coalesce(len(json_keys(fo)), json_array_length(j, '$.features'), 0) AS INTEGER) END AS llm_feature_count,
     CASE WHEN ok THEN coalesce(CAST(json_extract(j, '$.features') AS VARCHAR), '{{}}') END AS llm_features_json, CASE WHEN ok THEN coalesce(array_to_string(kw, ', '), '') END AS llm_keywords,
-    CASE WHEN ok THEN CAST(coalesce(len(kw), 0) AS INTEGER) END AS llm_keywords_count, CASE WHEN ok THEN answer END AS raw_features FROM x_valid""",
-)
+    CASE WHEN ok THEN CAST(coalesce(len(kw), 0) AS INTEGER) END AS llm_keywords_count, CASE WHEN ok THEN answer END AS raw_features FROM {valid}"""
+for _name, _answers in (("x", "m_answers"), ("y", "(SELECT * EXCLUDE extraction_status FROM x_answers)")):  # given answers; those of the built-in extractor
+    lib.add(f"{_name}_parsed", _parsed(_answers))
+    lib.add(f"{_name}_valid", _valid(f"{_name}_parsed"))
+    lib.add(f"{_name}_flat", _flat(f"{_name}_valid"))
 
 
 def results(m):
@@ -68,15 +63,16 @@ lib.add(
 
 @query("llm_extract_batch", "SELECT * FROM x_answers")
 def _(m):
-    return X.extract_batch(m.product_texts)
+    return X.extract_batch(X.spread(m.product_texts))
 
 
-@query("udf_batch_extractor", "SELECT product_id, title, TRUE AS same FROM x_answers")
+@query("udf_batch_extractor", "SELECT y.product_id, y.title, y.raw_features IS NOT DISTINCT FROM a.answer AS same, y.* EXCLUDE (product_id, title) FROM y_flat y JOIN x_answers a ON y.product_id = a.product_id")
 def _(m):
     """The answers of a caller's function run per batch, validated and flattened; `same` tells whether the built-in extractor
     gives the same answer."""
-    own = X.extract_batch(m.product_texts).select("product_id", F.col("answer").alias("built_in"))
-    given = X.flatten(X.validate(X.extract_batch(m.product_texts, X.keyword_answer_of)))
+    texts = X.spread(m.product_texts)
+    own = X.extract_batch(texts).select("product_id", F.col("answer").alias("built_in"))
+    given = X.flatten(X.validate(X.extract_batch(texts, X.keyword_answer_of)))
     same = F.col("raw_features").eqNullSafe(F.col("built_in")).alias("same")
     rest = [c for c in given.columns if c not in ("product_id", "title")]
     return given.join(own, "product_id").select("product_id", "title", same, *rest)

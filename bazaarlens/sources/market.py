@@ -272,8 +272,10 @@ class Market:
 
     @cached_property
     def landing_products(self) -> DataFrame:
-        weight = F.when(F.col("product_id").cast("bigint") % 45 == 0, "heavy").otherwise(F.col("product_weight_g").cast("string"))
-        return self.as_text(self.products.withColumn("product_weight_g", weight))
+        k = F.col("product_id").cast("bigint")
+        weight = F.when(k % 45 == 0, "heavy").otherwise(F.col("product_weight_g").cast("string"))
+        length = F.when(k % 47 == 0, "10.5").otherwise(F.col("product_length_cm").cast("string"))
+        return self.as_text(self.products.withColumns({"product_weight_g": weight, "product_length_cm": length}))
 
     @cached_property
     def landing_geolocation(self) -> DataFrame:

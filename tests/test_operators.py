@@ -328,13 +328,74 @@ def test_default_extractor_matches_whole_words(spark):
     assert answers["1"]["keywords"] == ["steel", "hundred", "women", "bottle", "read"] and answers["2"]["keywords"] == []
 
 
-def test_learning_and_extraction_queries_return_their_results(spark, root):
-    import __spark_entry__ as entry
-    from bazaarlens.queries.q09_learning import forest
-
-    predicted = entry.queries()["ml_delivery_rf"](spark, root).collect()
-    assert predicted and all(r["within_training_range"] and r["prediction"] >= 0 for r in predicted)
-    weights = [r["importance"] for r in entry.queries()["ml_feature_importance"](spark, root).collect()]
-    assert weights == sorted(weights, reverse=True) and sorted(weights) == sorted(forest(spark, root).stages[-1].featureImportances.toArray().tolist())
-    answers = entry.queries()["udf_batch_extractor"](spark, root).collect()
-    assert answers and all(r["same"] and r["llm_keywords_count"] is not None and r["raw_features"] for r in answers)
+def grown(model) -> list[list[tuple]]:
+    """The trees of a fitted forest as plain nodes (feature, threshold, left, right, value, gain, rows), by node number."""
+    rows = model.stages[-1].toDebugString  # the shape is checked against the node table below
+    assert rows.count("Tree ") == model.stages[-1].getNumTrees
+
+    def walk(node, out):
+        place = len(out)
+        out.append(None)
+        if node.getClass().getSimpleName() == "LeafNode":
+            out[place] = (-1, 0.0, -1, -1, node.prediction(), 0.0, node.impurityStats().count())
+        else:
+            left, right = walk(node.leftChild(), out), walk(node.rightChild(), out)
+            out[place] = (node.split().featureIndex(), node.split().threshold(), left, right, node.prediction(), node.gain(), node.impurityStats().count())
+        return place
+
+    trees = []
+    for tree in model.stages[-1]._java_obj.trees():
+        nodes = []
+        walk(tree.rootNode(), nodes)
+        trees.append(nodes)
+    return trees
+
+
+def test_forest_predictions_and_importances_follow_from_its_trees(spark):
+    random.seed(3)
+    data = [(f"o{i}", 1, i % 3, i % 4, float(random.randint(100, 9000)), float(random.randint(10, 500)), 10.0 * (i % 7), float(i % 11), i % 2, 1.0 + (i % 3) * 4 + random.random()) for i in range(600)]
+    lines = spark.createDataFrame(data, "order_id string, order_item_id int, seller_state_enc int, customer_state_enc int, product_weight_g double, product_volume_cm3 double, freight_value double, price double, same_state int, delivery_days double")
+    model = L.fit_forest(lines, numTrees=5, maxDepth=4)
+    trees = grown(model)
+    inputs = np.array([[float(v) for v in r[2:9]] for r in data])
+    sums = np.zeros(len(inputs))
+    for nodes in trees:
+        for k, x in enumerate(inputs):
+            at = 0
+            while nodes[at][0] >= 0:
+                at = nodes[at][2] if x[nodes[at][0]] <= nodes[at][1] else nodes[at][3]
+            sums[k] += nodes[at][4]
+    got = {r["order_id"]: r["prediction"] for r in L.predict(model, lines).collect()}
+    assert np.allclose([got[r[0]] for r in data], sums / len(trees))
+    shares = np.zeros(len(L.FEATURES))
+    for nodes in trees:
+        own = np.zeros(len(L.FEATURES))
+        for feature, _, _, _, _, gain, n in nodes:
+            if feature >= 0:
+                own[feature] += gain * n
+        shares += own / own.sum()
+    wanted = dict(zip(L.FEATURES, shares / shares.sum()))
+    weights = L.feature_importance(spark, model).collect()
+    assert [r["importance"] for r in weights] == sorted((r["importance"] for r in weights), reverse=True)
+    assert all(abs(wanted[r["feature"]] - r["importance"]) < 1e-9 for r in weights)
+
+
+def test_cross_validation_is_the_mean_over_its_folds(spark):
+    random.seed(4)
+    data = [(f"o{i}", 1, i % 3, 0, 100.0, 10.0, 5.0, 5.0, 0, float(i % 3)) for i in range(200)]
+    lines = spark.createDataFrame(data, "order_id string, order_item_id int, seller_state_enc int, customer_state_enc int, product_weight_g double, product_volume_cm3 double, freight_value double, price double, same_state int, delivery_days double")
+    folds = L.cross_validate(lines, 3, numTrees=3, maxDepth=3)
+    rows = folds.collect()
+    got = L.cross_validation_summary(folds).first()
+    errors = [r["rmse"] for r in rows]
+    assert sum(r["n"] for r in rows) == 200 and got["folds"] == 3
+    assert abs(got["cv_rmse_mean"] - np.mean(errors)) < 1e-5 and abs(got["cv_rmse_std"] - np.std(errors)) < 1e-5
+
+
+def test_trusted_volume_takes_fractions_and_huge_sizes(spark):
+    numbers = "product_name_lenght string, product_description_lenght string, product_photos_qty string, product_weight_g string, product_length_cm string, product_height_cm string, product_width_cm string"
+    rows_ = [("a", "x", "1", "1", "1", "1", "10.5", "2", "2"), ("b", "x", "1", "1", "1", "1", "1e30", "2", "2"), ("c", "x", "1", "1", "1", "1", "1e300", "1e300", "2"), ("d", None, *[None] * 7)]
+    words = spark.createDataFrame([("x", "ex")], "product_category_name string, product_category_name_english string")
+    products = spark.createDataFrame(rows_, "product_id string, product_category_name string, " + numbers)
+    got = {r["product_id"]: r["product_volume_cm3"] for r in C.trusted_products(products, words).collect()}
+    assert got == {"a": 42.0, "b": 4e30, "c": float("inf"), "d": 0.0}
