@@ -46,3 +46,20 @@ SELECT p.page_id, p.url, p.fetched_at, h.key IS NOT NULL AS blocked, h.kind AS l
   h.category AS list_category, h.since AS listed_since
 FROM p LEFT JOIN h ON h.page_id = p.page_id AND h.url = p.url AND h.k = 1
 """
+
+# crc32 of the distinct words only, bit by bit; word characters are a-z, 0-9 and all beyond ASCII
+_WORDS = lambda table: f"SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w{', doc_id' if table == 'documents' else ''} FROM {table}"
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(1, 9)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))))"""
+IMPORTANCE_RESAMPLING = f"""
+WITH ours AS (SELECT w, doc_id, count(*) AS n FROM ({_WORDS('documents')}) GROUP BY ALL), theirs AS (SELECT w, count(*) AS n FROM ({_WORDS('benchmark')}) GROUP BY ALL),
+kinds AS MATERIALIZED (SELECT w, {_CRC} % 10000 AS bucket FROM (SELECT w FROM ours UNION SELECT w FROM theirs)),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM ours JOIN kinds USING (w) GROUP BY 1), t AS (SELECT bucket, sum(n)::BIGINT AS t FROM theirs JOIN kinds USING (w) GROUP BY 1),
+gain AS (SELECT b AS bucket, CAST(floor(1000.0::DOUBLE * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+weights AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS weight FROM ours JOIN kinds USING (w) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM documents d LEFT JOIN weights w ON d.doc_id = w.doc_id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_features >= 20)
+SELECT scored.*, CASE WHEN place <= 10 * (SELECT count(*) FROM ranked) // 100 THEN place END AS rank FROM scored LEFT JOIN ranked ON scored.doc_id = ranked.doc_id
+"""
