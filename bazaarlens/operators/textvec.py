@@ -1,22 +1,21 @@
-"""TF-IDF vectors and cosine neighbours of product texts, as joins on terms.
+"""TF-IDF vectors and cosine neighbours of product texts.
 
 Equal texts are collapsed before they are split into terms, and equal vectors into classes before
-they are compared. Neighbour search never lists all pairs: a candidate must share one of the rare
-terms that carry enough of a vector's length to reach the needed similarity (exact prefix bound).
+they are compared. The neighbour search passes over whole cells of classes that cannot reach the
+needed similarity (`neighbours`), so terms that all products share cost nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from bazaarlens.operators import neighbours as N
 from bazaarlens.operators.ranges import surrogate_key
 from bazaarlens.sources.io import stage
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-SEEDS = 500  # classes per term looked at for the lower bound
-SLACK = 1e-6  # similarities are ranked after rounding to six digits
 
 
 # --- weights ------------------------------------------------------------------
@@ -87,92 +86,31 @@ class VectorClasses:
         return self.members.withColumn("place", place).where(F.col("place") <= n)
 
 
-def entries(classes: DataFrame) -> DataFrame:
-    """(class_id, term, weight, reach): `reach` is the length of the vector from this term on, in the
-    order rare to common. Classes that share only later terms have at most that cosine."""
-    tail = F.transform(
-        "vector", lambda _, i: F.sqrt(F.aggregate(F.slice("vector", i + 1, F.size("vector")), F.lit(0.0), lambda s, e: s + e["weight"] * e["weight"]))
-    )
-    zipped = F.arrays_zip(F.col("vector"), tail.alias("reach"))
-    return classes.select("class_id", F.explode(zipped).alias("e")).select("class_id", "e.vector.term", "e.vector.weight", "e.reach")
-
-
-def score_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Cosine of (a, b) class pairs, from the whole vectors."""
-    left = classes.select(F.col("class_id").alias("a"), F.col("vector").alias("va"))
-    as_map = F.map_from_entries(F.transform("vector", lambda e: F.struct(e["term"], e["weight"])))
-    right = classes.select(F.col("class_id").alias("b"), as_map.alias("vb"))
-    dot = F.aggregate("va", F.lit(0.0), lambda s, e: s + e["weight"] * F.coalesce(F.try_element_at(F.col("vb"), e["term"]), F.lit(0.0)))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", dot.alias("similarity"))
+def cells(v: VectorClasses, asks: Column | None = None) -> N.Cells:
+    """The classes as sparse unit vectors over the vocabulary, dealt to cells."""
+    terms = sorted(r[0] for r in v.classes.select(F.explode("vector.term").alias("t")).distinct().collect())  # at most max_features
+    place = F.create_map(*(F.lit(x) for i, t in enumerate(terms) for x in (t, i))) if terms else F.lit(None).cast("map<string,int>")
+    vectors = v.classes.select("head", "n", F.transform("vector", lambda e: F.element_at(place, e["term"])).alias("at"), F.col("vector.weight").alias("v"))
+    return N.cells_of(vectors, len(terms), asks)
 
 
 def similar_classes(v: VectorClasses, threshold: float) -> DataFrame:
     """All class pairs with cosine >= threshold, named by their smallest product."""
-    prefix = entries(v.classes).where(F.col("reach") >= threshold - SLACK)
-    a = prefix.select(F.col("class_id").alias("a"), "term")
-    b = prefix.select(F.col("class_id").alias("b"), "term")
-    pairs = a.join(b, "term").where("a < b").select("a", "b").distinct()
-    near = score_pairs(pairs, v.classes).withColumn("similarity", F.round("similarity", 6)).where(F.col("similarity") >= threshold)
-    names = v.classes.select("class_id", "head", "n")
-    left = names.select(F.col("class_id").alias("a"), F.col("head").alias("ha"), F.col("n").alias("na"))
-    right = names.select(F.col("class_id").alias("b"), F.col("head").alias("hb"), F.col("n").alias("nb"))
-    joined = near.join(left, "a").join(right, "b")
-    first = F.col("ha") < F.col("hb")
-    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
-    return joined.select(
-        pick("ha", "hb").alias("product_a"),
-        pick("hb", "ha").alias("product_b"),
-        pick("na", "nb").alias("members_a"),
-        pick("nb", "na").alias("members_b"),
-        "similarity",
+    near, _ = N.classes_above(cells(v), threshold)
+    names = v.classes.select("head", "n")
+    return (
+        near.where("head < other")
+        .join(names.withColumnRenamed("n", "members_a"), "head")
+        .join(names.select(F.col("head").alias("other"), F.col("n").alias("members_b")), "other")
+        .select(F.col("head").alias("product_a"), F.col("other").alias("product_b"), "members_a", "members_b", "similarity")
     )
 
 
 def neighbour_classes(v: VectorClasses) -> DataFrame:
-    """For every class with at most `top` members: enough other classes to fill `top` neighbours."""
-    k = v.top
-    small = v.classes.where(F.col("n") <= k).select("class_id", "vector")
-    # fixed partition number: the joins below grow these rows many times, so they must not be packed
-    # into few tasks for being small now
-    cores = v.classes.sparkSession.sparkContext.defaultParallelism
-    mine = stage(entries(small), "neighbour_terms").repartition(cores, "class_id")
-    postings = stage(entries(v.classes).select(F.col("class_id").alias("b"), "term", F.col("weight").alias("wb")), "neighbour_postings")
-    # Lower bound: true cosines of the k best-looking classes on the three rarest terms. Only a bound
-    # comes from here, so a bounded part of each posting list is enough; the search below is exact.
-    rare = mine.withColumn("place", F.row_number().over(W.partitionBy("class_id").orderBy(F.desc("reach"), "term"))).where("place <= 3")
-    seeds = postings.withColumn("place", F.row_number().over(W.partitionBy("term").orderBy("b"))).where(F.col("place") <= SEEDS)
-    tries = (
-        rare.select(F.col("class_id").alias("a"), "term", F.col("weight").alias("wa")).join(seeds.drop("place"), "term").where("a <> b")
-        .groupBy("a", "b")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    )
-    promising = tries.withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("dot"), "b"))).where(F.col("place") <= k)
-    scored = score_pairs(promising.select("a", "b"), v.classes)
-    bound = scored.groupBy("a").agg(F.when(F.count("*") == k, F.min("similarity")).alias("bound"))
-    # terms that can still lead to the bound, and the length left behind them
-    marked = (
-        mine.select(F.col("class_id").alias("a"), "term", "weight", "reach")
-        .join(bound, "a", "left")
-        .withColumn("bound", F.coalesce("bound", F.lit(0.0)) - SLACK)
-        .withColumn("needed", F.col("reach") >= F.col("bound"))
-    )
-    left_over = marked.groupBy("a").agg(
-        F.first("bound").alias("bound"), F.coalesce(F.max(F.when(~F.col("needed"), F.col("reach"))), F.lit(0.0)).alias("rest")
-    )
-    met = (
-        marked.where("needed").select("a", "term", F.col("weight").alias("wa")).join(postings, "term").where("a <> b")
-        .groupBy("a", "b")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.sum(F.col("wb") * F.col("wb")).alias("used"))
-    )
-    # the rest of the cosine is at most rest(a) times what is left of b: only pairs that can reach
-    # the bound are scored in full
-    at_most = F.col("dot") + F.col("rest") * F.sqrt(F.greatest(F.lit(1.0) - F.col("used"), F.lit(0.0)))
-    reachable = met.join(left_over, "a").where(at_most >= F.col("bound")).select("a", "b", "dot", at_most.alias("at_most"))
-    # a sharper bound from the k pairs with the largest partial products, then the same test again
-    largest = reachable.withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("dot"), "b"))).where(F.col("place") <= k)
-    sharp = score_pairs(largest.select("a", "b"), v.classes).groupBy("a").agg(F.when(F.count("*") == k, F.min("similarity") - SLACK).alias("sharp"))
-    pairs = reachable.join(sharp, "a", "left").where(F.col("at_most") >= F.coalesce("sharp", F.lit(0.0))).select("a", "b")
-    return score_pairs(pairs, v.classes).withColumn("similarity", F.round("similarity", 6))
+    """(a, b, similarity): for every class with at most `top` members the `top` nearest other classes, if they share a term."""
+    near, _ = N.class_neighbours(cells(v, F.col("n") <= v.top), v.top)
+    a, b = (v.classes.select(F.col("class_id").alias(c), F.col("head").alias(h)) for c, h in (("a", "head"), ("b", "other")))
+    return near.where("similarity > 0").join(a, "head").join(b, "other").select("a", "b", "similarity")
 
 
 def recommend(v: VectorClasses) -> DataFrame:

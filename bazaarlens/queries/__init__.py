@@ -12,4 +12,5 @@ from bazaarlens.queries import (  # noqa: F401
     q09_learning,
     q10_text,
     q11_app,
+    q12_streams,
 )

@@ -17,12 +17,10 @@ query(
     SELECT CAST(row_number() OVER (ORDER BY receita DESC, categoria) AS INTEGER) AS "Ranking", categoria AS "Categoria", n AS "Total de Pedidos", receita AS "Receita Total (R$)", ticket AS "Ticket Médio (R$)",
       {q.pct('receita', 'sum(receita) OVER ()')} AS "% da Receita Total" FROM r QUALIFY "Ranking" <= 15""",
 )(lambda m: P.category_revenue(m.order_items, m.products, m.translation))
-query(
-    "dash_monthly_sales",
-    f"""WITH r AS (SELECT date_trunc('month', order_purchase_timestamp) AS mes, count(DISTINCT o.order_id) AS n, count(DISTINCT o.customer_id) AS c, CAST(sum({_total}) AS DECIMAL(18,2)) AS receita, {q.avg(_total)} AS ticket
+MONTHLY_SQL = f"""WITH r AS (SELECT date_trunc('month', order_purchase_timestamp) AS mes, count(DISTINCT o.order_id) AS n, count(DISTINCT o.customer_id) AS c, CAST(sum({_total}) AS DECIMAL(18,2)) AS receita, {q.avg(_total)} AS ticket
       FROM m_orders o JOIN m_items oi ON o.order_id = oi.order_id WHERE order_status NOT IN ('canceled', 'unavailable') GROUP BY 1), s AS (SELECT *, lag(receita) OVER (ORDER BY mes) AS antes FROM r)
-    SELECT strftime(mes, '%Y-%m') AS "Ano-Mês", n AS "Total de Pedidos", c AS "Clientes Únicos", receita AS "Receita Total (R$)", ticket AS "Ticket Médio (R$)", {q.pct('receita - antes', 'antes')} AS "Crescimento MoM (%)" FROM s""",
-)(lambda m: P.monthly_sales(m.orders, m.order_items))
+    SELECT strftime(mes, '%Y-%m') AS "Ano-Mês", n AS "Total de Pedidos", c AS "Clientes Únicos", receita AS "Receita Total (R$)", ticket AS "Ticket Médio (R$)", {q.pct('receita - antes', 'antes')} AS "Crescimento MoM (%)" FROM s"""
+query("dash_monthly_sales", MONTHLY_SQL)(lambda m: P.monthly_sales(m.orders, m.order_items))
 _labels = "CASE payment_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.PAYMENT_LABELS.items()) + " ELSE 'Outros' END"
 query(
     "dash_payment_mix",

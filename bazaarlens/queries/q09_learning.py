@@ -11,6 +11,7 @@ from bazaarlens.functions import scalars as S
 from bazaarlens.operators import cleaning as C
 from bazaarlens.operators import embeddings as E
 from bazaarlens.operators import learning as L
+from bazaarlens.operators import neighbours as N
 from bazaarlens.operators import textvec as V
 from bazaarlens.oracle import sqlkit as q
 from bazaarlens.oracle.registry import query
@@ -216,6 +217,11 @@ _centres = "SELECT extracted_category AS category, list(m ORDER BY pos) AS centr
 _scores = f"SELECT product_id, extracted_category, category, round(list_cosine_similarity(embedding::DOUBLE[], centre), 6) AS similarity FROM m_vectors, ({_centres})"
 query(
     "ml_embedding_topk",
+    """SELECT product_id, partner_id, similarity, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY similarity DESC, partner_id) AS place
+    FROM (SELECT a.product_id, b.product_id AS partner_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM m_vectors a JOIN m_vectors b ON a.product_id <> b.product_id)) WHERE place <= 10""",
+)(lambda m: N.nearest_products(m.embeddings))
+query(
+    "ml_embedding_centre_topk",
     f"SELECT product_id, category, similarity, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY similarity DESC, product_id) AS place FROM ({_scores})) WHERE place <= 10",
 )(lambda m: E.nearest_products(m.embeddings, "extracted_category", DIM, 10))
 query(
