@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import cleaning as C
+from bazaarlens.operators import clustering
 from bazaarlens.operators import ranges as R
 from bazaarlens.operators import star
 from bazaarlens.oracle import sqlkit as q
@@ -83,6 +84,20 @@ query("dim_geography", "SELECT * FROM d_geography")(lambda m: Warehouse(m).dim_g
 query("fact_orders_sql", "SELECT * FROM f_orders")(lambda m: Warehouse(m).fact_orders)
 
 
+@query(
+    "sink_clustered_facts",
+    """SELECT 'dates' AS asked, order_item_key, purchase_date_key, customer_key, price FROM f_orders WHERE purchase_date_key BETWEEN 20170101 AND 20170630
+    UNION ALL SELECT 'customers', order_item_key, purchase_date_key, customer_key, price FROM f_orders WHERE customer_key BETWEEN 100 AND 140""",
+)
+def _(m):
+    """Facts clustered by day and customer; both ranges are read back from the files that can hold them."""
+    fact = Warehouse(m).fact_orders
+    path = io.fresh_path(m.spark, "clustered_facts")
+    clustering.write_clustered(fact, path, ["purchase_date_key", "customer_key"], "order_item_key")
+    read = lambda asked, wanted: clustering.read_clustered(m.spark, path, fact.schema, wanted).select(F.lit(asked).alias("asked"), "order_item_key", "purchase_date_key", "customer_key", "price")
+    return read("dates", {"purchase_date_key": (20170101, 20170630)}).unionByName(read("customers", {"customer_key": (100, 140)}))
+
+
 def notebook(m):
     return star.build_refined(C.build_trusted(LandingView(m)))
 

@@ -8,9 +8,11 @@ from bazaarlens.functions import fixed
 from bazaarlens.functions import scalars as S
 from bazaarlens.operators import cleaning as C
 from bazaarlens.operators import extraction as X
+from bazaarlens.operators.extraction_job import ExtractionJob
 from bazaarlens.oracle import sqlkit as q
 from bazaarlens.oracle.registry import query
 from bazaarlens.oracle.tables import lib
+from bazaarlens.sources import io
 
 _j = "CASE WHEN json_valid(answer) THEN answer::JSON END"
 _parsed = lambda answers: f"""SELECT product_id, title, answer, input_tokens, output_tokens, j, json_type(j) = 'OBJECT' AS ok, json_keys(j) AS keys, {', '.join(f"json_extract_string(j, '$.{f}') AS llm_{f}" for f in X.TEXT_FIELDS)},
@@ -78,6 +80,17 @@ def _(m):
     return given.join(own, "product_id").select("product_id", "title", same, *rest)
 
 
+@query("llm_extract_resumed", "SELECT * FROM x_answers")
+def _(m):
+    """The extractor as a job that is stopped after its first wave and started again."""
+    texts = X.spread(m.product_texts)
+    path = io.fresh_path(m.spark, "answers")
+    job = ExtractionJob(path, X.keyword_answer_of, wave_rows=max(1, texts.count() // 3))
+    job.run(texts, max_waves=1)
+    job.run(texts)
+    return job.answers(texts)
+
+
 query(
     "llm_validate",
     "SELECT product_id, extraction_status, is_valid, array_to_string(issues, '; ') AS issues, array_to_string(warnings, '; ') AS warnings FROM x_valid",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.functions import scalars as S
+from bazaarlens.operators.clustering import on_curve
 
 _LOCAL_SCRATCH: list[str] = []
 
@@ -129,11 +130,11 @@ def write_star(refined, root: str) -> dict[str, str]:
         getattr(refined, name).write.mode("overwrite").parquet(paths[name])
     paths["fact_orders"] = f"{root}/fact_orders"
     fact = refined.fact_orders.withColumn("year_month", F.date_format("order_purchase_timestamp", "yyyy-MM"))
-    # one shuffle by month and a spread number: a hot month becomes several files, no task many months
-    spread = F.pmod(F.xxhash64("order_id"), F.lit(8))
-    fact.repartition("year_month", spread).sortWithinPartitions("date_key", "customer_sk").write.mode("overwrite").partitionBy(
-        "year_month"
-    ).parquet(paths["fact_orders"])
+    # one shuffle in ranges of (month, place on the curve of day and customer): a hot month becomes several files, each near
+    # in both columns, and no task holds many months
+    placed = on_curve(fact, ["date_key", "customer_sk"]).withColumn("_spread", F.xxhash64("order_id"))
+    dealt = placed.repartitionByRange("year_month", "_place", "_spread").sortWithinPartitions("year_month", "_place")
+    dealt.drop("_place", "_spread").write.mode("overwrite").partitionBy("year_month").parquet(paths["fact_orders"])
     return paths
 
 
