@@ -13,4 +13,5 @@ from bazaarlens.queries import (  # noqa: F401
     q10_text,
     q11_app,
     q12_streams,
+    q13_contracts,
 )

@@ -65,12 +65,15 @@ query(
 )(lambda m: star.dim_date_observed(m.orders))
 
 
-@query(
-    "dim_date_ddl",
+T.lib.add(
+    "d_date_ddl",
     f"""SELECT {q.date_key("full_date")} AS date_key, full_date, CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
     month_name, week_of_year AS week, CAST(day(full_date) AS INTEGER) AS day_of_month, CAST(isodow(full_date) AS INTEGER) AS day_of_week, day_of_week_name, isodow(full_date) >= 6 AS is_weekend,
     h IS NOT NULL AS is_holiday FROM d_date_all LEFT JOIN (SELECT DISTINCT CAST(order_purchase_timestamp AS DATE) AS h FROM m_orders WHERE strftime(order_purchase_timestamp, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '12-25')) ON full_date = h""",
 )
+
+
+@query("dim_date_ddl", "SELECT * FROM d_date_ddl")
 def _(m):
     days = m.orders.select(F.to_date("order_purchase_timestamp").alias("holiday_date"))
     holidays = days.where(F.date_format("holiday_date", "MM-dd").isin("01-01", "04-21", "05-01", "09-07", "12-25"))

@@ -141,3 +141,31 @@ def test_ranges_follow_the_row_count(spark, n):
     assert order == sorted(order)
     numbered = ranges.surrogate_key(df, "sk", ["id"]).collect()
     assert sorted((r["sk"], r["id"]) for r in numbered) == [(i + 1, k) for i, k in enumerate(sorted(ids))]
+
+
+# --- contracts -------------------------------------------------------------------------------
+def test_contract_checks_name_every_fault(spark):
+    from bazaarlens.operators import contract_checks as K
+    from bazaarlens.sources.contracts import contracts
+
+    all_ = contracts()
+    facts = [
+        ("1", "o1", 1, 5, 1, 1, 20180101, "voucher", "delivered", "1.00", "1.00", None, "1"),
+        ("1", "o1", None, 9, None, -1, 20180101, "v" * 21, None, "abc", "1.00", "2", "2.0"),
+        (None, None, 2, None, 1, 1, 20990101, None, "s", "1", "99999999999.99", "x", "y"),
+    ]
+    schema = "order_item_key string, order_id string, order_item_id int, customer_key bigint, product_key bigint, seller_key bigint, purchase_date_key int, payment_type string, order_status string, price string, freight_value string, payment_value string, payment_installments string"
+    tables = {"fact_orders": spark.createDataFrame(facts, schema)}
+    for dim, key in (("dim_customer", "customer_key"), ("dim_product", "product_key"), ("dim_seller", "seller_key"), ("dim_geography", "geography_key")):
+        tables[dim] = spark.createDataFrame([(1,), (5,), (1,)], f"{key} bigint")
+    tables["dim_date"] = spark.createDataFrame([(20180101,)], "date_key int")
+    only = {"fact_orders": all_["fact_orders"]}
+    got = {(r["constraint_type"], r["column_name"]): r["n_faults"] for r in K.check_contracts(only, tables, {"fact_orders": {"order_item_sequence": "order_item_id", "date_key": "purchase_date_key"}}).collect()}
+    wanted = {
+        ("TYPE", "order_item_key"): 0, ("TYPE", "price"): 1, ("TYPE", "freight_value"): 1, ("TYPE", "payment_value"): 1, ("TYPE", "payment_installments"): 1,
+        ("LENGTH", "payment_type"): 1, ("LENGTH", "order_id"): 0, ("NOT NULL", "order_item_key"): 1, ("NOT NULL", "order_id"): 1, ("NOT NULL", "order_item_sequence"): 1,
+        ("NOT NULL", "order_status"): 1, ("NOT NULL", "price"): 1, ("NOT NULL", "customer_key"): 0, ("DEFAULT", "customer_key"): 1, ("DEFAULT", "product_key"): 1,
+        ("DEFAULT", "geography_key"): 3, ("PRIMARY KEY", "order_item_key"): 1, ("FOREIGN KEY", "customer_key"): 1, ("FOREIGN KEY", "product_key"): 0,
+        ("FOREIGN KEY", "seller_key"): 0, ("FOREIGN KEY", "date_key"): 1, ("FOREIGN KEY", "geography_key"): 0,
+    }
+    assert {k: got[k] for k in wanted} == wanted
