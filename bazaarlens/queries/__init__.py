@@ -14,4 +14,5 @@ from bazaarlens.queries import (  # noqa: F401
     q11_app,
     q12_streams,
     q13_contracts,
+    q14_stats,
 )

@@ -156,6 +156,10 @@ query(
     "join_self_copurchase",
     "SELECT a.product_id, count(DISTINCT b.product_id) AS n_partners FROM m_items a JOIN m_items b ON a.order_id = b.order_id AND a.product_id <> b.product_id GROUP BY 1",
 )(lambda m: B.partner_counts(m.order_items))
+query(
+    "join_copurchase_pairs",
+    "SELECT a.product_id, b.product_id AS partner_id, count(DISTINCT a.order_id) AS n_orders FROM m_items a JOIN m_items b ON a.order_id = b.order_id AND a.product_id <> b.product_id WHERE CAST(a.product_id AS BIGINT) % 100 = 0 GROUP BY 1, 2",
+)(lambda m: B.PairTable(m.order_items).partners_of(m.products.where(F.col("product_id").cast("bigint") % 100 == 0)))
 query(
     "join_agg_then_join",
     "SELECT i.order_id, i.order_item_id, i.product_id, i.price, p.total_payment FROM m_items i LEFT JOIN (SELECT order_id, CAST(sum(payment_value) AS DECIMAL(18,2)) AS total_payment FROM m_payments GROUP BY 1) p ON i.order_id = p.order_id",

@@ -25,8 +25,8 @@ def landing_stream(spark: SparkSession, path: str, schema, max_files: int = 100)
 class Upsert:
     """foreachBatch target: keeps the best row per key in hash buckets of a Parquet table.
 
-    Only buckets that hold a key of the batch are read and rewritten, so the cost of a batch follows
-    the batch, not the table. Batch n writes its buckets to its own folder and lists them in an index
+    Only buckets that hold a key of the batch are read and rewritten. A batch of many keys touches all
+    of the 64 buckets and then costs as much as the table; `views` keeps tables by date parts instead. Batch n writes its buckets to its own folder and lists them in an index
     table. State lives in the files alone: a restarted driver reads the index, and a repeated batch
     sees only older batches and overwrites its own folder.
     """

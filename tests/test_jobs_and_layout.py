@@ -169,3 +169,31 @@ def test_contract_checks_name_every_fault(spark):
         ("FOREIGN KEY", "seller_key"): 0, ("FOREIGN KEY", "date_key"): 1, ("FOREIGN KEY", "geography_key"): 0,
     }
     assert {k: got[k] for k in wanted} == wanted
+
+
+# --- recorded statistics ------------------------------------------------------------------------
+def test_recorded_runs_merge_replace_and_compare(spark, tmp_path):
+    from bazaarlens.operators.stats_store import StatsStore
+
+    store = StatsStore(str(tmp_path))
+    assert store.trend(spark).count() == 0
+    at = lambda n: F.lit(f"2020-01-0{n} 00:00:00").cast("timestamp_ntz")
+    rng = random.Random(5)
+    rows = [(i, rng.gauss(0, 1) if i % 10 else None, f"k{i % 3000}", None) for i in range(8000)]
+    df = spark.createDataFrame(rows, "id bigint, v double, k string, empty int").repartition(4)
+    store.record("a", at(1), {"t": df.limit(10)})
+    store.record("a", at(1), {"t": df.where("id < 4000")})  # recorded again
+    for n in range(3):
+        store.record("b", at(2), {"t": df.where(F.col("id") % 3 == n)}, part=f"p{n}")
+    store.record("c", at(3), {"t": df.withColumn("v", F.col("v").cast("string")).drop("empty")})
+    runs = {(r["run"], r["column_name"]): r for r in store.runs(spark).collect()}
+    assert runs["a", "id"]["n_rows"] == 4000 and runs["b", "v"]["n_nulls"] == 800 and runs["b", "empty"]["n_distinct"] == 0
+    assert abs(runs["b", "k"]["n_distinct"] / 3000 - 1) < 0.05 and abs(runs["b", "id"]["n_distinct"] / 8000 - 1) < 0.05
+    median = store.runs(spark).where("run = 'b' AND column_name = 'v'").select(F.kll_sketch_get_quantile_double("quantiles", F.lit(0.5))).first()[0]
+    values = sorted(v for _, v, _, _ in rows if v is not None)
+    assert abs(sum(v <= median for v in values) / len(values) - 0.5) < 0.03
+    drift = {r["column_name"]: r["drift"] for r in store.drift(spark, "b", "c").collect()}
+    assert drift == {"id": "same", "v": "type_changed", "k": "same", "empty": "removed"}
+    trend = store.trend(spark).orderBy("at").collect()
+    assert [r["run"] for r in trend] == ["a", "b", "c"] and trend[0]["change"] is None and float(trend[1]["score"]) == 0.725
+    assert trend[2]["change"] == trend[2]["score"] - trend[1]["score"]

@@ -15,6 +15,8 @@ KEYS = [
     "fn_json_parse", "stream_refresh_5min", "dash_category_revenue", "dash_monthly_sales", "dash_seller_ranking",
     "star_rating_by_seller_state", "eda_executive_summary", "dq_run_suite", "dq_report", "dq_reconcile", "ml_tfidf", "ml_recommend",
     "ml_delivery_features", "ml_embedding_zero_shot", "llm_flatten", "llm_quality_targets", "app_genai_kpis", "cat_merge_tags",
+    "dq_monitors", "udf_batch_extractor", "ml_embedding_topk", "ml_product_similarity", "dq_recorded_trend", "dq_recorded_drift",
+    "llm_extract_batch", "sink_clustered_facts", "sink_parquet_star", "stream_monthly_sales", "ddl_all_contracts",
 ]
 
 
