@@ -7,9 +7,12 @@ of such a class share the same large-basket partners, which are counted per clas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.operators.ranges import running_total
+from bazaarlens.sources.io import stage
+
 PAIR_LIMIT = 1000
 
 
@@ -81,7 +84,43 @@ def bought_together(items: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def basket_lists(items: DataFrame, chunk: int = 1000) -> DataFrame:
     """Product lists per order, as numbered parts: lines sorted by product, `chunk` lines in a part, so that no list has to
-    hold a whole hot order. Parts follow each other in order; an order up to `chunk` lines is part 0."""
-    number = F.row_number().over(Window.partitionBy("order_id").orderBy("product_id", "order_item_id"))
-    parts = items.select("order_id", "product_id", F.floor((number - 1) / chunk).alias("part"))
+    hold a whole hot order. Parts follow each other in order; an order up to `chunk` lines is part 0.
+
+    Lines are numbered in two levels: a running total over ranges of (order, product, line), which cut a hot order into
+    several tasks, less the total at the start of the order.
+    """
+    keys = ["order_id", "product_id", "order_item_id"]
+    counted = items.groupBy(*keys).agg(F.count("*").alias("copies"))
+    placed = running_total(counted, keys, F.col("copies"), "before")
+    starts = placed.groupBy(F.col("order_id").alias("_order")).agg(F.min("before").alias("start"))
+    numbered = placed.join(starts, F.col("order_id").eqNullSafe(F.col("_order"))).withColumn("number", F.col("before") - F.col("start"))
+    lines = numbered.select("order_id", "product_id", F.explode(F.sequence("number", F.col("number") + F.col("copies") - 1)).alias("number"))
+    parts = lines.select("order_id", "product_id", F.floor(F.col("number") / chunk).alias("part"))
     return parts.groupBy("order_id", "part").agg(F.array_sort(F.collect_list("product_id")).alias("products"))
+
+
+class PairTable:
+    """All co-purchase pairs in compressed form, from which any pair can be read with its number of orders.
+
+    Pairs of baskets up to `limit` products are listed once, a < b, with their orders. Of larger baskets only the lines are
+    kept: a basket is a clique, and its pairs are those of its lines. So the table grows with the lines, not with their square,
+    also where every product has its own set of large baskets.
+    """
+
+    def __init__(self, items: DataFrame, limit: int = PAIR_LIMIT) -> None:
+        small, large = _split(basket_lines(items), limit)
+        a = small.select("order_id", F.col("product_id").alias("a"))
+        b = small.select("order_id", F.col("product_id").alias("b"))
+        pairs = a.join(b, "order_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_orders"))
+        self.pairs = stage(pairs, "basket-pairs")
+        self.cliques = stage(large.select("order_id", "product_id"), "basket-cliques")
+
+    def partners_of(self, asked: DataFrame) -> DataFrame:
+        """(product_id, partner_id, n_orders) of the asked products (`product_id`) with all others."""
+        asked = asked.select("product_id").distinct()
+        turned = lambda x, y: self.pairs.select(F.col(x).alias("product_id"), F.col(y).alias("partner_id"), "n_orders").join(asked, "product_id", "left_semi")
+        mine = self.cliques.join(asked, "product_id", "left_semi")
+        theirs = self.cliques.select("order_id", F.col("product_id").alias("partner_id"))
+        met = mine.join(theirs, "order_id").where("product_id <> partner_id").groupBy("product_id", "partner_id").agg(F.count("*").alias("n_orders"))
+        found = turned("a", "b").unionByName(turned("b", "a")).unionByName(met)
+        return found.groupBy("product_id", "partner_id").agg(F.sum("n_orders").alias("n_orders"))

@@ -168,3 +168,37 @@ def test_pairs_above_a_threshold(spark):
     near = np.round(x @ x.T, 6)
     wanted = {(f"h{i:02d}", f"h{j:02d}", near[i, j]) for i in range(90) for j in range(90) if i != j and near[i, j] >= 0.9}
     assert {tuple(r) for r in found.collect()} == wanted
+
+
+# --- co-purchase pairs ---------------------------------------------------------------------
+def test_pair_table_reads_every_pair_once(spark):
+    import itertools
+    import random
+    from collections import Counter
+
+    from bazaarlens.operators import baskets
+
+    rng = random.Random(7)
+    products = [f"p{i:03d}" for i in range(80)]
+    orders = {f"o{i}": rng.sample(products, rng.choice([1, 2, 3, 5])) for i in range(120)}
+    orders |= {f"big{i}": rng.sample(products, 40) for i in range(6)}  # every product has its own set of large baskets
+    lines = [(o, p, n) for o, ps in orders.items() for n, p in enumerate(ps)] + [("o1", orders["o1"][0], 9), (None, "p001", 1), ("o2", None, 1)]
+    items = spark.createDataFrame(lines, "order_id string, product_id string, order_item_id int").repartition(4)
+    wanted = Counter(pair for ps in orders.values() for pair in itertools.permutations(ps, 2))
+    table = baskets.PairTable(items, 6)
+    got = {(r["product_id"], r["partner_id"]): r["n_orders"] for r in table.partners_of(items).collect()}
+    assert got == dict(wanted)
+    assert table.pairs.count() + table.cliques.count() < len(wanted) / 2
+    some = spark.createDataFrame([("p001",), ("p001",), ("none",)], "product_id string")
+    assert {r["partner_id"] for r in table.partners_of(some).collect()} == {b for a, b in wanted if a == "p001"}
+
+
+def test_parts_of_a_hot_order_are_numbered_across_ranges(spark, monkeypatch):
+    from bazaarlens.operators import baskets, ranges
+
+    monkeypatch.setattr(ranges.with_range, "__defaults__", (None, 50))
+    items = spark.createDataFrame([("hot", f"p{i % 900:04d}", i) for i in range(2500)] + [(f"o{i}", "x", 1) for i in range(300)] + [("hot", "p0000", 0)] * 3, "order_id string, product_id string, order_item_id int").repartition(5)
+    parts = {(r["order_id"], r["part"]): r["products"] for r in baskets.basket_lists(items, 100).collect()}
+    hot = [p for n in range(26) for p in parts["hot", n]]
+    assert hot == sorted([f"p{i % 900:04d}" for i in range(2500)] + ["p0000"] * 3)
+    assert all(len(parts["hot", n]) == 100 for n in range(25)) and all(parts[f"o{i}", 0] == ["x"] for i in range(300))
