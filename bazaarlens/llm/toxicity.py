@@ -74,11 +74,16 @@ class Network:
         mean = np.add.reduceat(self.p["char"][triple], offsets[:-1], axis=0) / np.diff(offsets)[:, None].astype(np.float32)
         return np.concatenate([self.p["word"][slot], mean], axis=1)
 
-    def forward(self, x: np.ndarray, ids: np.ndarray, keep: bool = False):
-        """Logits of windows; ids [B, W] index x, -1 past the end of a short text."""
+    def gates(self, x: np.ndarray) -> np.ndarray:
+        """What every word adds to the gates [2, V + 1, 3H]; the last row, for padding, is never used: the state is held there."""
+        proj = np.zeros((2, len(x) + 1, 3 * HIDDEN), np.float32)
+        np.matmul(x, self.p["wx"], out=proj[:, :-1])
+        proj[:, :-1] += self.p["b"]
+        return proj
+
+    def forward(self, proj: np.ndarray, ids: np.ndarray, keep: bool = False):
+        """Logits of windows from the words' gates; ids [B, W] number the words, -1 past the end of a short text."""
         p, (n, w) = self.p, ids.shape
-        # one more row, for padding: its input is never used because the state is held there
-        proj = np.concatenate([np.matmul(x, p["wx"]) + p["b"], np.zeros((2, 1, 3 * HIDDEN), np.float32)], axis=1)
         h = np.zeros((2, n, HIDDEN), np.float32)
         states = np.empty((w, 2, n, HIDDEN), np.float32)
         padded = bool((ids < 0).any())
@@ -114,7 +119,7 @@ class Network:
         p, (_, w) = self.p, ids.shape
         slot, triple, offsets = feats
         x = self.vectors(feats)
-        logit, (states, share, pooled, kept) = self.forward(x, ids, keep=True)
+        logit, (states, share, pooled, kept) = self.forward(self.gates(x), ids, keep=True)
         d = ((sigmoid(logit) - y) * weight / weight.sum()).astype(np.float32)
         g = {"bias": d.sum(keepdims=True), "out": np.einsum("b,dbh->dh", d, pooled)}
         dpool = d[None, :, None] * p["out"][:, None, :]
@@ -162,17 +167,27 @@ class Adam:
             p[k] -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-6)
 
 
-def windows(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(windows [n, WIDTH] of word numbers, document of each): starts every STEP tokens, the last one flush with the end."""
-    each = np.maximum(1, 1 + -(-(counts - WIDTH) // STEP))
-    owner = np.repeat(np.arange(len(counts)), each)
-    number = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    first = np.cumsum(counts) - counts
-    start = np.minimum(number * STEP, np.maximum(counts[owner] - WIDTH, 0))
-    place = start[:, None] + np.arange(WIDTH)
-    inside = place < counts[owner][:, None]
-    at = np.where(inside, place + first[owner][:, None], 0)
-    return np.where(inside, ids[at] if len(ids) else -1, -1), owner
+class Windows:
+    """All windows of a batch of texts as places, of which only blocks are ever spelled out: they start every STEP tokens,
+    the last one flush with the end. `owner` is the document of each."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        each = np.maximum(1, 1 + -(-(counts - WIDTH) // STEP))
+        self.owner = np.repeat(np.arange(len(counts), dtype=np.int32), each)
+        number = np.arange(len(self.owner)) - np.repeat(np.cumsum(each) - each, each)
+        start = np.minimum(number * STEP, np.maximum(counts[self.owner] - WIDTH, 0))
+        self.live = np.minimum(counts[self.owner] - start, WIDTH).astype(np.int32)
+        self.first = start + (np.cumsum(counts) - counts)[self.owner]
+        self.ids = ids if len(ids) else np.full(1, -1, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.owner)
+
+    def __getitem__(self, chosen) -> np.ndarray:
+        """Word numbers [chosen, WIDTH]; -1 past the end of a short text."""
+        place = np.arange(WIDTH)
+        inside = place < self.live[chosen][:, None]
+        return np.where(inside, self.ids[np.where(inside, self.first[chosen][:, None] + place, 0)], -1)
 
 
 def compact(feats, ids: np.ndarray):
@@ -189,25 +204,37 @@ def compact(feats, ids: np.ndarray):
 def document_scores(net: Network, text: pa.Array, block: int = 2048) -> np.ndarray:
     """Highest window probability of every row of a text array without nulls."""
     ids, counts, distinct = C.words(text)
-    x = net.vectors(features(distinct))
+    proj = net.gates(net.vectors(features(distinct)))
     best = np.full(len(text), -np.inf, np.float32)
-    all_windows, owner = windows(ids, counts)
-    for i in range(0, len(owner), block):
-        np.maximum.at(best, owner[i : i + block], net.forward(x, all_windows[i : i + block]))
+    seen = Windows(ids, counts)
+    for i in range(0, len(seen), block):
+        np.maximum.at(best, seen.owner[i : i + block], net.forward(proj, seen[i : i + block]))
     return sigmoid(best.astype(np.float64))
 
 
 def fit(rows: list[tuple[str, int]], seed: int = 7, rounds: int = 6, batch: int = 256) -> Network | None:
-    """Train on (text, label) rows; None unless both labels occur."""
+    """Train on (text, label) rows; None unless both labels occur. The list is emptied once its words are numbered.
+
+    The first pass takes all windows of toxic rows and at most twice as many, drawn at random, of clean rows.
+    """
     y = np.array([label for _, label in rows], np.float32)
     if not len(y) or y.min() == y.max():
         return None
     ids, counts, distinct = C.words(C.as_array(pa.array([t for t, _ in rows], pa.large_string())))
+    rows.clear()  # the sample lives on as word numbers
     feats = features(distinct)
-    seen, owner = windows(ids, counts)
+    seen = Windows(ids, counts)
+    owner = seen.owner
     net, rng = Network(seed), np.random.default_rng(seed)
     opt = Adam(0.01)
 
+    def logits(block: int = 2048) -> np.ndarray:
+        parts = []
+        for i in range(0, len(seen), block):  # block by block with its own words, so that memory follows the block
+            small, local = compact(feats, seen[i : i + block])
+            parts.append(net.forward(net.gates(net.vectors(small)), local))
+        return np.concatenate(parts)
+
     def learn(chosen: np.ndarray, times: int) -> None:
         truth = y[owner[chosen]]
         share = max(truth.mean(), 1e-6)
@@ -223,9 +250,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 7, rounds: int = 6, batch: int
     learn(np.concatenate([positive, negative]), 1)
     for k in range(rounds):
         opt.rate = 0.005 / (1 + k)
-        x = net.vectors(feats)
-        logit = np.concatenate([net.forward(x, seen[i : i + 2048]) for i in range(0, len(owner), 2048)])
-        order = np.lexsort((-logit, owner))
+        order = np.lexsort((-logits(), owner))
         top = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         learn(top, 2)
     return net

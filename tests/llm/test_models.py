@@ -44,11 +44,11 @@ def test_toxicity_gradients_are_right():
     net = toxicity.Network(3)
     text = C.as_array(pa.array(["a bad day for you", "good"]))
     ids, counts, distinct = C.words(text)
-    feats, (seen, owner) = toxicity.features(distinct), toxicity.windows(ids, counts)
+    feats, seen = toxicity.features(distinct), toxicity.Windows(ids, counts)[:]
     y, weight = np.array([1.0, 0.0], np.float32), np.ones(2, np.float32)
 
     def loss():
-        z = net.forward(net.vectors(feats), seen).astype(float)
+        z = net.forward(net.gates(net.vectors(feats)), seen).astype(float)
         return float(np.sum(np.logaddexp(0, z) - y * z) / 2)
 
     class Catch:
@@ -69,8 +69,10 @@ def test_toxicity_gradients_are_right():
 
 def test_windows_cover_every_token():
     for n in (0, 1, 31, 32, 33, 100, 333):
-        seen, owner = toxicity.windows(np.arange(n, dtype=np.int32), np.array([n]))
-        assert sorted(set(seen[seen >= 0].tolist())) == list(range(n)) and len(owner) >= 1
+        seen = toxicity.Windows(np.arange(n, dtype=np.int32), np.array([n]))
+        ids = seen[:]
+        assert sorted(set(ids[ids >= 0].tolist())) == list(range(n)) and len(seen) >= 1
+        assert (seen[len(seen) - 1 :] == ids[-1]).all()
 
 
 def test_quality_held_out_and_linear_form(labelled):
