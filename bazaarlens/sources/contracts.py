@@ -6,6 +6,7 @@ and unique keys are kept next to it and become data-quality rules (Spark does no
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -127,10 +128,17 @@ class Contract:
     defaults: dict = field(default_factory=dict)
 
 
+TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType()}
+COLUMN = re.compile(r"(\w+) (?:decimal\((\d+),(\d+)\)|(\w+))( NOT NULL)?(?:, |$)")
+
+
 def _schema(ddl: str) -> T.StructType:
-    """The DDL as a schema, with the comments of the columns that have one."""
-    fields = T.StructType.fromDDL(ddl).fields
-    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {"comment": COMMENTS[f.name]} if f.name in COMMENTS else {}) for f in fields])
+    """The DDL as a schema, with the comments of the columns that have one; needs no session, so it can be read on import."""
+    fields = []
+    for name, digits, scale, kind, required in COLUMN.findall(ddl):
+        dtype = T.DecimalType(int(digits), int(scale)) if digits else TYPES[kind]
+        fields.append(T.StructField(name, dtype, not required, {"comment": COMMENTS[name]} if name in COMMENTS else {}))
+    return T.StructType(fields)
 
 
 def contracts() -> dict[str, Contract]:
