@@ -6,7 +6,7 @@ before such a bar gets one more, so no control string can come from data and the
 Windows: turn tokens are summed along the conversation; a window starts at a turn, repeats at most `history` tokens of
 whole earlier turns, always carries the leading system turn, and ends before the budget is exceeded. The loss mask covers
 the text of assistant turns; a repeated assistant turn is masked out, so every target is trained on once. A single turn
-larger than the budget stands alone in its window, whole.
+larger than the budget is the only new turn of its window, whole, after the system turn.
 
 Turns are shuffled once by conversation, sorted, and read as a stream; what is held is one window and the turns it may
 repeat, whatever the length of the conversation.

@@ -11,6 +11,7 @@ moved, never texts, and a source that holds most rows is spread over all cells.
 
 Defined cases: NULL texts have size 0; rows of size 0 are dealt like all others and take no words. A NULL source is a
 source of its own, last in order. Repeated rows are separate documents. Sources without words get target 0 and no copies.
+An empty table gives an empty mix; texts of any length count whole. `mix` replaces a column named `copy`.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ Scoring is one scan without a shuffle. As the output is linear in the average, e
 output weights once, so a feature costs one lookup; the result is the network's own. The weights travel with the task.
 
 Defined cases: NULL, empty and blank texts get the score of the zero vector; without labelled rows of both kinds every
-score is 0.5. Other columns are carried along untouched.
+score is 0.5. Repeated rows are scored alike; an empty table gives an empty result. Texts of any length are scored whole;
+memory follows the longest one. Other columns are carried along untouched, but one named like the score is replaced.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Within a text, three-word windows are compared by 64-bit hashes: they are sorted
 bits, and neighbours count as equal only if their full hashes agree.
 
 Defined cases: NULL texts have no words; they and all texts under 50 words fail the base rule. A NULL language is a stratum
-of its own. Repeated rows are judged alike; an id with both labels counts as good. Other columns are not read.
+of its own. Repeated rows are judged alike; an id with both labels counts as good. Texts
+of any length are measured whole; an empty table gives an empty result, empty labels no cutoffs. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ Only entities are shuffled, first grouped by form. Documents without an entity p
 the list of their own replacements by a key of id and text.
 
 Defined cases: NULL and empty texts pass unchanged; rows without an id are treated like others; repeated rows get the same
-result; all other columns are kept.
+result, an empty table an empty one; texts of any length are read whole. All other columns are kept; columns must not be named
+`__mark` or `__new`.
 """
 
 from __future__ import annotations

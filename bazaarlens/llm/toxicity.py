@@ -9,7 +9,8 @@ carries its document's label, then passes on the highest window of each document
 the weights, under 1 MB whatever the data, travel with the task.
 
 Defined cases: NULL, empty and blank texts get the empty window's score, at most 0.5; without labelled rows of both kinds
-every score is 0. Repeated rows are scored alike; columns besides `text` are carried along untouched.
+every score is 0. Repeated rows are scored alike; an empty table gives an empty result. Texts of any length are scored whole;
+memory follows the longest one. Columns besides `text` are carried along untouched, but one named like the score is replaced.
 """
 
 from __future__ import annotations
