@@ -5,13 +5,15 @@ A list log has rows (kind, pattern, action, at, category): kind `domain` holds f
 time is the latest one not after it; of entries of one second, removals count last. So an `add` is valid from its time to
 the next entry of its pattern.
 
-A capture meets every pattern that can cover it: all suffixes of its host, and all path prefixes of its URL. Intervals are cut
+A capture meets every pattern that can cover it: the suffixes of its host and the path prefixes of its URL, as deep as the
+deepest pattern of the log, so that a URL of many thousand steps costs no more than the list asks for. Intervals are cut
 at the ends of periods of `PERIOD` seconds and joined on (kind, pattern, period), so a pattern with a long history, or a host
 with a third of all captures, meets a few rows per capture, and Spark may split a hot side. Of the intervals that hold, the
 longest pattern decides.
 
 Defined cases: URLs that are NULL or have no host match nothing; NULL fetch times match nothing; log rows with NULLs in
-pattern, action or time are left out; repeated log rows count once; repeated captures are judged alike. Extra columns of
+pattern, action or time are left out; repeated log rows count once; repeated captures are judged alike. An empty log blocks
+nothing, an empty table of captures gives an empty result, URLs of any length are judged whole. Extra columns of
 captures are kept; of the log they are ignored.
 """
 
@@ -62,12 +64,12 @@ def intervals(log: DataFrame) -> DataFrame:
     )
 
 
-def keys_of(url: Column) -> Column:
-    """Every (kind, key) that can cover a URL."""
+def keys_of(url: Column, most_labels: int, most_steps: int) -> Column:
+    """Every (kind, key) of at most so many host labels, or path steps with the host, that can cover a URL."""
     host, path = host_of(url), path_of(url)
     labels, steps = F.split(host, r"\."), F.split(F.rtrim(path, F.lit("/")), "/")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat(host, F.array_join(F.slice(steps, F.lit(1), i), "/")))
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - most_labels + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(steps), F.lit(max(1, most_steps)))), lambda i: F.concat(host, F.array_join(F.slice(steps, F.lit(1), i), "/")))
     entry = lambda kind: lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
     both = F.concat(F.transform(suffixes, entry("domain")), F.transform(prefixes, entry("prefix")))
     return F.when(F.coalesce(host, F.lit("")) != "", F.array_distinct(both))
@@ -83,8 +85,10 @@ def judged(captures: DataFrame, log: DataFrame, url: str = "url", at: str = "fet
     valid = intervals(log).where(F.col("since") <= last)
     span = F.sequence(F.floor(F.col("since") / PERIOD), F.floor(F.least(F.coalesce(F.col("until") - 1, F.lit(last)), F.lit(last)) / PERIOD))
     cut = valid.withColumn("period", F.explode(span))
+    parts = lambda kind, sign: F.max(F.when(F.col("kind") == kind, F.size(F.split("key", sign))))
+    labels, steps = valid.agg(parts("domain", r"\."), parts("prefix", "/")).first()
     asked = captures.select(F.col(url).alias("__url"), F.col(at).cast("long").alias("__at")).where("__url IS NOT NULL AND __at IS NOT NULL").distinct()
-    met = asked.select("__url", "__at", F.floor(F.col("__at") / PERIOD).alias("period"), F.inline(keys_of(F.col("__url")))).join(cut, ["kind", "key", "period"])
+    met = asked.select("__url", "__at", F.floor(F.col("__at") / PERIOD).alias("period"), F.inline(keys_of(F.col("__url"), labels or 1, steps or 1))).join(cut, ["kind", "key", "period"])
     holds = met.where("since <= __at AND (until IS NULL OR __at < until)")
     best = F.struct(F.length("key").alias("n"), F.col("kind").alias("kind"), F.col("key").alias("key"), F.col("since").alias("since"), F.col("category").alias("category"))
     decided = holds.groupBy("__url", "__at").agg(F.max(best).alias("__by"))
