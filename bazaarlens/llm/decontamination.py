@@ -14,8 +14,9 @@ window that holds it) is compared exactly: the sum of the weighted minima of the
 weight of a shingle being one over the number of items that hold it. At `SIMILARITY` or more, the document is contaminated by
 the item. So the result equals the comparison of every item with every window.
 
-One scan of the documents without a shuffle of texts per `ITEMS` benchmark items; the items of one scan (a bounded number of
-bounded texts) travel with the tasks, more items take more scans.
+One scan of the documents without a shuffle of texts per part of the benchmark (`ITEMS` items, `PART_CHARS` characters); the
+items of one scan travel with the tasks, more items take more scans, and one item longer than a part is a part of its own size.
+The holders of a shingle are counted over all items first.
 
 Defined cases: NULL and short documents contain nothing; items of fewer than five words or NULL have no shingle and match
 nothing; repeated items and rows are judged alike. Extra columns are carried along.
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from bazaarlens.llm import common as C
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 3
-ITEMS = 20_000
+#: Items and characters of one scan.
+ITEMS, PART_CHARS = 20_000, 8_000_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¿¡"
 
 
@@ -256,18 +258,36 @@ class Index:
             yield row, item, s, at, size
 
 
+def shingles_of(items: DataFrame) -> DataFrame:
+    """(part, code): every distinct shingle of every item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes, n, _, _ = shingles(C.as_array(b.column(1)))
+            distinct = [np.unique(own) for own in np.split(codes, np.cumsum(n)[:-1])] if len(n) else []
+            flat = np.concatenate(distinct) if distinct else np.zeros(0, np.uint64)
+            part = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(d) for d in distinct])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(flat.view(np.int64))], ["part", "code"])
+
+    return items.select("part", "text").mapInArrow(run, "part long, code long")
+
+
 def indexes(benchmark: DataFrame, least: float = SIMILARITY) -> Iterator[Index]:
-    """One index per `ITEMS` items; items are dealt by a hash, so each list is bounded."""
+    """One index per part of the items: parts hold `ITEMS` items and `PART_CHARS` characters on average, dealt by a hash.
+
+    How many items hold a shingle is counted over all items, in Spark, so the parts never change a similarity.
+    """
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    parts = max(1, -(-items.count() // ITEMS))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    parts = max(1, -(-size["n"] // ITEMS), -(-size["chars"] // PART_CHARS))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    held = C.staged(shingles_of(items), "benchmark-shingles")
+    shared = held.groupBy("code").agg(F.count("*").alias("holders")).where("holders > 1")
     for k in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
-        listed = [(r["item_id"], r["text"]) for r in rows]
-        codes, n, _, _ = shingles(C.as_array(pa.array([t for _, t in listed], pa.large_string())))
-        held = Counter()
-        for e, c in zip(np.cumsum(n), n, strict=True):
-            held.update(set(codes[e - c : e].tolist()))
-        yield Index(listed, {s: 1.0 / c for s, c in held.items() if c > 1}, least)
+        rows = items.where(F.col("part") == k).orderBy("item_id", "text").collect()
+        mine = held.where(F.col("part") == k).select("code").distinct().join(shared, "code").collect()  # shingles of one part
+        weights = {r["code"] % (1 << 64): 1.0 / r["holders"] for r in mine}
+        yield Index([(r["item_id"], r["text"]) for r in rows], weights, least)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
