@@ -3,8 +3,10 @@
 A set's parity sketch is the XOR of its shingles' 64-bit codes in each of B blocks (a shingle's block follows from its
 code). Two sets differ in at most as many blocks as their symmetric difference has members. In a band of sizes whose
 linked pairs differ by at most d members, any d + 1 blocks contain one in which linked sets agree: the sets are joined on
-(band, block, XOR). B is a little above d + 1, so that a set usually has more than d blocks with members; then one of those
-agrees, and its empty blocks need not be entered. A set is also entered in the band below when it may link with sets there.
+(band, block, XOR). B is so far above d + 1 that a set has more than d blocks with members but for one in a milliard; then one
+of those agrees, and its empty blocks, which all sets would share, need not be entered. A set is also entered in the band
+below when it may link with sets there. Keys are made from the texts, a class once per task, and shuffled once: within the
+partition of a key, keys of one class only are left out.
 
 Equal sets are one class, so copies cost one row each. Among the classes that share a block, every class is paired with one
 central class. A narrow parity sketch, whose Hamming distance is also a lower bound of the symmetric difference, screens the
@@ -13,11 +15,12 @@ their shingle codes. That is repeated from the verified links until every two cl
 were screened out, or were verified and do not link. So no link is lost, and a group of near copies costs about one pair a
 member.
 
-Shingles are compared by 64-bit hashes and classes by 128-bit hashes of the whole set.
+Shingles are compared by 64-bit hashes and classes by 128-bit hashes of the whole set (their first half while keys are met).
 
 Defined cases: NULL and wordless texts have no shingles and link with nothing; fewer than three words make one shingle of
 the whole sequence. Repeated rows fall into one class; rows without an id take part, and a component of such rows only has
-a NULL id. Other columns are not read.
+a NULL id. An empty table gives an empty result; texts of any length are read whole, and memory follows the longest one. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +41,12 @@ from bazaarlens.llm import common as C
 from bazaarlens.llm.components import components
 
 WORDS = 3
+#: Chance that a set has so few blocks with members that its empty ones are entered.
+RARE = 1e-9
 #: Up to so many ids are sent to the tasks to pick out their texts; more are joined.
 FEW = 300_000
+#: Shingles whose keys one task sorts.
+TASK_KEYS = 1_000_000
 #: Longs of the narrow sketch that screens pairs before they are verified.
 NARROW = 32
 
@@ -81,17 +88,23 @@ def identity(codes: np.ndarray) -> tuple[int, int]:
 
 @lru_cache(maxsize=None)
 def block_number(least: int, most: int) -> int:
-    """Blocks of a band: at least most + 1, and so many that a set of `least` members is likely to fill more than `most`.
+    """Blocks of a band: so many above most + 1 that a set of `least` members fills more than `most` of them, but for a
+    chance of `RARE`: either all members can fall into some `most` blocks with chance C(blocks, most) * (most / blocks) **
+    least at most, or, among many blocks, the number of filled ones lies six deviations above `most`.
 
     Linked sets n <= m, 100 * both >= share * all, differ by at most (n + m) * (100 - share) / (100 + share) members, which is
     `most` for the largest n of the band.
     """
+    chance = lambda b: math.lgamma(b + 1) - math.lgamma(most + 1) - math.lgamma(b - most + 1) + least * math.log(most / b)
+
+    def enough(b: int) -> bool:
+        bare = math.exp(-least / b)
+        spread = math.sqrt(b * (bare - (1 + least / b) * bare * bare))
+        return chance(b) <= math.log(RARE) or (most >= 30 and b * (1 - bare) - 6 * spread >= most + 1)
+
     blocks = most + 1
-    while blocks < 2 * most + 2:
-        empty = blocks * math.exp(-least / blocks)
-        if blocks - empty >= most + 1 + 2 * math.sqrt(empty):
-            break
-        blocks += 1
+    while not enough(blocks):
+        blocks += max(1, blocks // 64)
     return blocks
 
 
@@ -141,25 +154,24 @@ def sets_of(text: pa.Array, n_words: int) -> Iterator[np.ndarray]:
             yield np.unique(part)
 
 
-def sketched(docs: DataFrame, share: int, n_words: int) -> DataFrame:
-    """row number, doc_id, n_shingles, class (h1, h2), narrow sketch and join keys of every row; one scan, no shuffle."""
+def sketched(docs: DataFrame, n_words: int) -> DataFrame:
+    """row number, doc_id, n_shingles, class (h1, h2) and narrow sketch of every row; one scan, no shuffle."""
     kind = docs.schema["doc_id"].dataType
     long = T.LongType()
-    lists_of = [T.StructField(c, T.ArrayType(long, False)) for c in ("narrow", "keys")]
-    schema = T.StructType([T.StructField("row", long), T.StructField("doc_id", kind), *(T.StructField(c, long) for c in ("n_shingles", "h1", "h2")), *lists_of])
+    narrow = T.StructField("narrow", T.ArrayType(long, False))
+    schema = T.StructType([T.StructField("row", long), T.StructField("doc_id", kind), *(T.StructField(c, long) for c in ("n_shingles", "h1", "h2")), narrow])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = size_bands()
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             text = C.as_array(b.column(1))
-            for i, j in C.slices(text, 8 << 20):
+            for i, j in C.slices(text, 2 << 20):
                 found = list(sets_of(text.slice(i, j - i), n_words))
                 marks = np.array([identity(s) for s in found], np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + len(found))), b.column(0).slice(i, j - i), pa.array([len(s) for s in found], pa.int64()),
-                        pa.array(marks[:, 0]), pa.array(marks[:, 1]), lists([narrow_sketch(s) for s in found]), lists([block_keys(s, share, bounds) for s in found]),
+                        pa.array(marks[:, 0]), pa.array(marks[:, 1]), lists([narrow_sketch(s) for s in found]),
                     ],
                     schema.names,
                 )
@@ -168,6 +180,30 @@ def sketched(docs: DataFrame, share: int, n_words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def keyed(docs: DataFrame, share: int, n_words: int) -> DataFrame:
+    """(key, h1): the join keys of every class, entered once per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = size_bands()
+        entered: set[int] = set()
+        for b in batches:
+            text = C.as_array(b.column(0))
+            for i, j in C.slices(text, 2 << 20):
+                marks, keys = [], []
+                for codes in sets_of(text.slice(i, j - i), n_words):
+                    mark = identity(codes)[0]
+                    if mark not in entered:
+                        entered.add(mark)
+                        marks.append(mark)
+                        keys.append(block_keys(codes, share, bounds))
+                flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+                owner = np.repeat(np.array(marks, np.int64), [len(k) for k in keys])
+                for at in range(0, len(flat), 1 << 17):
+                    yield pa.RecordBatch.from_arrays([pa.array(flat[at : at + (1 << 17)].view(np.int64)), pa.array(owner[at : at + (1 << 17)])], ["key", "h1"])
+
+    return docs.select("text").mapInArrow(run, "key long, h1 long")
+
+
 def full_sets(docs: DataFrame, n_words: int) -> DataFrame:
     """Class, size and shingle codes of every row."""
     schema = "h1 bigint, h2 bigint, n bigint, codes array<bigint>"
@@ -215,13 +251,15 @@ class Search:
 
     def __init__(self, docs: DataFrame, share: int, n_words: int) -> None:
         self.docs, self.share, self.n_words = docs, share, n_words
-        self.rows = C.staged(sketched(docs, share, n_words), "sketches")
-        entered = self.rows.select(F.explode("keys").alias("key"), "row")
-        often = entered.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
-        met = entered.join(often, "key").join(self.rows.select("row", "h1", "h2"), "row").select("key", "h1", "h2").distinct()
+        self.rows = C.staged(sketched(docs, n_words), "sketches")
+        # one shuffle by key serves the filter, the distinct and the crowd; a set has fewer keys than shingles
+        same = Window.partitionBy("key")
+        parts = max(1, (self.rows.agg(F.sum("n_shingles")).first()[0] or 0) // TASK_KEYS)
+        entered = keyed(docs, share, n_words).repartition(parts, "key").withColumns({"low": F.min("h1").over(same), "high": F.max("h1").over(same)})
+        met = entered.where("low <> high").select("key", "h1").distinct().withColumn("crowd", F.count("*").over(same))
         met = C.staged(met, "met-keys")
-        shared = met.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
-        self.live = C.staged(met.join(shared, "key").select("key", as_class().alias("c"), "crowd"), "live-keys")
+        classes = self.rows.select("h1", "h2").distinct()
+        self.live = C.staged(met.join(classes, "h1").select("key", as_class().alias("c"), "crowd"), "live-keys")
         alive = self.live.select("c.h1", "c.h2").distinct()
         first = self.rows.join(alive, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("row").alias("row")).select("row")
         about = self.rows.join(first, "row").select(as_class().alias("c"), F.col("n_shingles").alias("n"), "narrow", "doc_id")
