@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 one's `docs`. Stages before the last return the columns of `documents`; the last returns the mix itself, every document as
 often as it is taken, with its copy number.
+
+Defined cases, for all stages: an empty table stays empty; rows with NULL in any column pass like others (a NULL text is neither
+toxic nor a copy, holds no benchmark item and no personal data, and counts no words); texts of any length are read whole;
+repeated rows are judged alike, and of those with words one stays after the second stage. Further columns are kept, unless they
+are named `__row`, `__mark`, `__new` or `copy`.
 """
 
 from __future__ import annotations
@@ -28,14 +33,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates, once; wordless documents stay.
-
-    Documents without an id cannot be told apart by it: of those, rows equal in all columns stay once.
+    """Keeps one row of every group of near duplicates: the one with the smallest id (rows without an id last, then the first
+    row). Rows are told apart by a number of their own, so an id that stands on unrelated texts loses neither, and near copies
+    without an id are one group like all others. Documents without words, NULL texts among them, are no copies and stay.
     """
-    groups = jaccard.near_components(docs.where("doc_id IS NOT NULL"), SHARE, SHINGLE)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id IS NULL").distinct())
+    numbered = C.staged(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = jaccard.near_components(numbered.select(F.col("__row").alias("doc_id"), "text"), SHARE, SHINGLE)
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__row")
+    placed = groups.select(F.col("doc_id").alias("__row"), "component_id").join(numbered.select("__row", "doc_id"), "__row")
+    kept = placed.groupBy("component_id").agg(F.min(rank).alias("best")).select(F.col("best.__row").alias("__row"))
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
