@@ -399,3 +399,12 @@ def test_trusted_volume_takes_fractions_and_huge_sizes(spark):
     products = spark.createDataFrame(rows_, "product_id string, product_category_name string, " + numbers)
     got = {r["product_id"]: r["product_volume_cm3"] for r in C.trusted_products(products, words).collect()}
     assert got == {"a": 42.0, "b": 4e30, "c": float("inf"), "d": 0.0}
+
+
+def test_forest_keeps_node_ids_and_few_partitions(spark):
+    data = [(f"o{i}", 1, i % 3, 0, 100.0, 10.0, 5.0, 5.0, 0, float(i % 3)) for i in range(60)]
+    lines = spark.createDataFrame(data, "order_id string, order_item_id int, seller_state_enc int, customer_state_enc int, product_weight_g double, product_volume_cm3 double, freight_value double, price double, same_state int, delivery_days double")
+    kept, walked = L.fit_forest(lines, numTrees=3, maxDepth=3), L.fit_forest(lines, numTrees=3, maxDepth=3, cacheNodeIds=False)
+    assert kept.stages[-1].getCacheNodeIds()
+    assert grown(kept) == grown(walked)
+    assert [L.forest_parts(n) for n in (0, 120_000, 400_000, 720_000, 7_200_000)] == [8, 8, 8, 12, 36]
