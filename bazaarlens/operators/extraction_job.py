@@ -19,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.sources.io import stage
+
 LOG = "digest string, extraction_status string, attempts int, answer string, input_tokens bigint, output_tokens bigint, wave bigint"
 WAVE_ROWS = 50_000
 
@@ -128,7 +130,8 @@ class ExtractionJob:
                 out["output_tokens"] = out["answer"].fillna("").str.len() // 4
                 yield out[["digest", "extraction_status", "attempts", "answer", "input_tokens", "output_tokens", "wave"]]
 
-        waiting = self.pending(texts)
+        # written once: the texts are joined and grouped once a run, not again for the count and for every wave
+        waiting = stage(self.pending(texts), "waiting-texts")
         n = waiting.count()
         waves = -(-n // self.wave_rows)
         first = self.log(spark).agg(F.max("wave")).first()[0]

@@ -83,7 +83,7 @@ def _(m):
 @query("llm_extract_resumed", "SELECT * FROM x_answers")
 def _(m):
     """The extractor as a job that is stopped after its first wave and started again."""
-    texts = X.spread(m.product_texts)
+    texts = m.product_texts  # the job deals its waves over all cores itself
     path = io.fresh_path(m.spark, "answers")
     job = ExtractionJob(path, X.keyword_answer_of, wave_rows=max(1, texts.count() // 3))
     job.run(texts, max_waves=1)

@@ -100,6 +100,25 @@ def test_a_stopped_run_asks_for_every_text_once(spark, tmp_path):
     assert {r["extraction_status"] for r in again.answers(texts).collect()} == {"SUCCESS"}
 
 
+def test_texts_are_read_once_a_run_whatever_the_waves(spark, tmp_path):
+    reads = str(tmp_path / "reads")
+    os.makedirs(reads)
+
+    def noted(frames):
+        for f in frames:
+            with open(f"{reads}/{os.getpid()}", "a") as out:
+                out.write("".join(f"{p}\n" for p in f["product_id"]))
+            yield f
+
+    rows = [(f"p{i}", f"t{i}", f"d{i}") for i in range(40)]
+    texts = spark.createDataFrame(rows, "product_id string, title string, description string")
+    texts = texts.mapInPandas(noted, texts.schema)
+    job = ExtractionJob(str(tmp_path / "log"), lambda title, description: json.dumps({"t": title}), lanes=2, wave_rows=10)
+    assert job.run(texts) == 4
+    said = sorted(line for name in os.listdir(reads) for line in open(f"{reads}/{name}").read().splitlines())
+    assert said == sorted(r[0] for r in rows)
+
+
 # --- clustered tables -------------------------------------------------------------------
 def test_curve_place_interleaves_bits(spark):
     rows = spark.range(64).select((F.col("id") % 8).alias("a"), F.floor(F.col("id") / 8).alias("b"))
