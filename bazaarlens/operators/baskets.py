@@ -86,17 +86,26 @@ def basket_lists(items: DataFrame, chunk: int = 1000) -> DataFrame:
     """Product lists per order, as numbered parts: lines sorted by product, `chunk` lines in a part, so that no list has to
     hold a whole hot order. Parts follow each other in order; an order up to `chunk` lines is part 0.
 
-    Lines are numbered in two levels: a running total over ranges of (order, product, line), which cut a hot order into
-    several tasks, less the total at the start of the order.
+    Orders are counted first. One up to `chunk` lines is one list, made by one grouping. Lines of larger orders are numbered in
+    two levels: a running total over ranges of (order, product, line), which cut a hot order into several tasks, less the total
+    at the start of the order.
     """
     keys = ["order_id", "product_id", "order_item_id"]
-    counted = items.groupBy(*keys).agg(F.count("*").alias("copies"))
+    items = items.select(*keys)
+    # at most one in `chunk` rows
+    hot = stage(items.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select(F.col("order_id").alias("_order")), "hot-orders")
+    same = F.col("order_id").eqNullSafe(F.col("_order"))
+    whole = items if hot.isEmpty() else items.join(hot, same, "left_anti")
+    lists = whole.groupBy("order_id", F.lit(0).cast("bigint").alias("part")).agg(F.array_sort(F.collect_list("product_id")).alias("products"))
+    if hot.isEmpty():
+        return lists
+    counted = items.join(hot, same, "left_semi").groupBy(*keys).agg(F.count("*").alias("copies"))
     placed = running_total(counted, keys, F.col("copies"), "before")
     starts = placed.groupBy(F.col("order_id").alias("_order")).agg(F.min("before").alias("start"))
     numbered = placed.join(starts, F.col("order_id").eqNullSafe(F.col("_order"))).withColumn("number", F.col("before") - F.col("start"))
     lines = numbered.select("order_id", "product_id", F.explode(F.sequence("number", F.col("number") + F.col("copies") - 1)).alias("number"))
     parts = lines.select("order_id", "product_id", F.floor(F.col("number") / chunk).alias("part"))
-    return parts.groupBy("order_id", "part").agg(F.array_sort(F.collect_list("product_id")).alias("products"))
+    return lists.unionByName(parts.groupBy("order_id", "part").agg(F.array_sort(F.collect_list("product_id")).alias("products")))
 
 
 class PairTable:
