@@ -408,3 +408,42 @@ def test_forest_keeps_node_ids_and_few_partitions(spark):
     assert kept.stages[-1].getCacheNodeIds()
     assert grown(kept) == grown(walked)
     assert [L.forest_parts(n) for n in (0, 120_000, 400_000, 720_000, 7_200_000)] == [8, 8, 8, 12, 36]
+
+
+def test_date_keys_by_arithmetic_equal_the_formatted_date(spark):
+    days = ["2017-01-02 23:59:59", "0001-03-04 00:00:00", "0000-02-29 00:00:00", "-0005-02-27 00:00:00", "12000-01-01 00:00:00", "9999-12-31 10:00:00", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("timestamp_ntz").alias("d"))
+    got = df.select(S.date_key("d").alias("key"), F.date_format("d", "yyyyMMdd").cast("int").alias("formatted"))
+    assert all(r["key"] == r["formatted"] for r in got.collect())
+    assert "date_format" not in df.select(S.date_key("d"))._jdf.queryExecution().toString()
+    assert dict(got.dtypes)["key"] == "int"
+
+
+def test_facts_read_once_are_made_without_a_written_table(spark, root):
+    from bazaarlens.queries.q03_star import Warehouse
+    from bazaarlens.sources.market import Market
+
+    w = Warehouse(Market(spark, root))
+    read = lambda df: [f for f in df.inputFiles() if "/fact_orders-" in f]
+    assert not read(w.fact_lines.select("order_id", "price")) and read(w.fact_orders)
+    assert rows(w.fact_lines.groupBy("order_status").agg(F.sum("price")).orderBy("order_status")) == rows(w.fact_orders.groupBy("order_status").agg(F.sum("price")).orderBy("order_status"))
+
+
+def test_star_tables_are_kept_once_by_name(spark, root):
+    from bazaarlens.queries.q01_sources import LandingView
+    from bazaarlens.sources.market import Market
+
+    kept = []
+    star.build_refined(C.build_trusted(LandingView(Market(spark, root))), lambda df, name: (kept.append(name), df)[1])
+    assert kept == ["dim_customer", "dim_product", "dim_seller", "fact_orders"]
+
+
+def test_small_baskets_are_listed_by_one_grouping(spark):
+    data = [("a", "p2", 1), ("a", "p1", 2), (None, "p3", 1), (None, "p0", 2), ("b", None, 1)]
+    lists = B.basket_lists(spark.createDataFrame(data, "order_id string, product_id string, order_item_id int"))
+    assert "Window" not in lists._jdf.queryExecution().toString()
+    got = {r["order_id"]: (r["part"], r["products"]) for r in lists.collect()}
+    assert got == {"a": (0, ["p1", "p2"]), None: (0, ["p0", "p3"]), "b": (0, [])}
+    both = spark.createDataFrame([*data, *((None, f"q{i}", i) for i in range(4))], "order_id string, product_id string, order_item_id int")
+    got = {(r["order_id"], r["part"]): r["products"] for r in B.basket_lists(both, 4).collect()}
+    assert got == {("a", 0): ["p1", "p2"], ("b", 0): [], (None, 0): ["p0", "p3", "q0", "q1"], (None, 1): ["q2", "q3"]}
