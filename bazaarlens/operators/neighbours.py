@@ -1,14 +1,15 @@
 """Exact nearest neighbours by cosine, by metric pruning: cells around pivots, triangle inequality, blocks.
 
 Angles between vectors obey the triangle inequality. Vectors are dealt to the nearest of a bounded number of pivots; a cell
-knows its pivot and its radius, the largest angle of a member. First every vector is compared with its own cell, which gives
-the angle t of its k-th best so far (for a search above a threshold, t is given). A cell whose pivot lies at an angle of more
-than t + radius holds nothing better and is passed over; all others are compared in full. So the result is that of all pairs,
+knows its pivot and its radius, the largest angle of a member. First every vector is compared with a block of its own cell,
+which gives the angle t of its k-th best so far (for a search above a threshold, t is given). A cell whose pivot lies at an
+angle of more than t + radius holds nothing better and is passed over; all others are compared. So the result is that of all pairs,
 whatever the pivots; on vectors without any structure no cell can be passed over, on clustered ones most are (`scored_share`
 tells).
 
-Comparisons run in blocks of at most about `BLOCK` vectors a side, cogrouped by (cell, block, block), so neither a large cell
-nor a sought-after one meets in one task. Equal vectors are one class and compared once; each class stands for its first
+Cells that lie near each other make areas of a bounded size (`AREA_BYTES` as a matrix; large cells are divided among several).
+Comparisons run in pairs of areas, a matrix product at a time, so neither a large cell nor a sought-after one meets in one task,
+and a vector is sent as often as there are areas with something for it, not once per cell. Equal vectors are one class and compared once; each class stands for its first
 members. Rows without a vector, or with one of length zero, have no direction and take no part.
 
 Vectors are unit vectors, dense (`v`) or sparse (places `at` below a given width, and values `v`); a class is named by its
@@ -29,7 +30,11 @@ from pyspark.sql import Window as W
 
 from bazaarlens.sources.io import stage
 
-PIVOTS, BLOCK = 1024, 2048
+PIVOTS, OWN_BLOCK = 1024, 2048
+#: An area as a dense matrix, the least number of vectors in it, and into how many areas a small table is cut.
+AREA_BYTES, LEAST_AREA, SIDES = 32 << 20, 256, 10
+#: Similarities held at once, and tasks at most.
+SCORES, PAIR_TASKS = 1 << 21, 4096
 SLACK = 2e-6  # similarities are ranked after rounding to six digits
 PAIRS = "head string, other string, similarity double"
 
@@ -84,90 +89,140 @@ def cells_of(classes: DataFrame, width: int | None = None, asks: Column | None =
     return Cells(chosen, members.drop("apart"), sizes, radius, width)
 
 
-def compared(cells: Cells, asking: DataFrame, asked_by: dict[int, int], k: int | None, least: float = -math.inf, block: int = BLOCK) -> DataFrame:
-    """The k best (similarity falling, head rising; all for None) of at least `least`, of each asking vector in each block of
-    the cell it asks. `asked_by` has the number of asking vectors per cell."""
-    spark, width = asking.sparkSession, cells.width
-    parts = [(c, max(1, -(-int(cells.sizes[c]) // block)), max(1, -(-n // block))) for c, n in asked_by.items()]
-    parts = F.broadcast(spark.createDataFrame(parts, "cell int, n_blocks int, n_askers int"))  # one row per cell
-    bucket = lambda n: F.pmod(F.xxhash64("head"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keys = ["cell", "block", "asker"]
-    columns = [*keys, "head", *(c for c in ("at", "v") if c in cells.members.columns)]
-    left = asking.join(parts, "cell").withColumn("asker", bucket("n_askers")).withColumn("block", every("n_blocks")).select(*columns)
-    right = cells.members.join(parts, "cell").withColumn("block", bucket("n_blocks")).withColumn("asker", every("n_askers")).select(*(F.col(c).alias(c) for c in columns))
-
-    def best(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
-        found = {"head": [], "other": [], "similarity": []}
-        if not q.empty and not m.empty:
-            names = m["head"].to_numpy().astype(str)
-            near = np.round(matrix(q, width) @ matrix(m, width).T, 6)
-            for head, row in zip(q["head"], near, strict=True):
-                row = np.where(names == head, -np.inf, row)
-                kth = np.partition(row, -k)[-k] if k is not None and len(row) > k else -np.inf
-                at = np.flatnonzero((row >= max(kth, least)) & (row > -np.inf))
-                if k is not None:
-                    at = at[np.lexsort((names[at], -row[at]))][:k]
-                found["head"] += [head] * len(at)
-                found["other"] += names[at].tolist()
-                found["similarity"] += row[at].tolist()
-        return pd.DataFrame(found).astype({"head": str, "other": str, "similarity": float})
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, PAIRS)
-
-
-def own_cells(cells: Cells) -> tuple[DataFrame, dict[int, int]]:
-    asking = cells.members.where("asks")
-    return asking, {r["cell"]: r["n"] for r in asking.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per cell
-
-
-def asked_cells(cells: Cells, bounded: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """Every asking vector (with `bound`, a similarity that others must reach) once per other cell that may hold one, and how
-    many ask each cell."""
+def areas_of(cells: Cells, block: int | None) -> list[list[int]]:
+    """Per cell the areas of its blocks. An area takes about `block` vectors of cells that lie near each other: cells are
+    chained from pivot to nearest pivot; one larger than an area is divided."""
+    total, near = int(cells.sizes.sum()), cells.pivots @ cells.pivots.T
+    dense = AREA_BYTES // (8 * cells.pivots.shape[1])
+    limit = block or max(LEAST_AREA, min(dense, -(-total // SIDES)))
+    left, at = np.ones(len(near), bool), 0
+    areas, area, filled = [[] for _ in near], 0, 0
+    for _ in near:
+        left[at] = False
+        n = max(1, -(-int(cells.sizes[at]) // limit))
+        for _ in range(n):
+            if filled and filled + cells.sizes[at] / n > limit:
+                area, filled = area + 1, 0
+            areas[at].append(area)
+            filled += cells.sizes[at] / n
+        at = int(np.where(left, near[at], -np.inf).argmax())
+    return areas
+
+
+def asking_areas(cells: Cells, areas: list[list[int]], k: int | None, threshold: float | None) -> DataFrame:
+    """Every asking vector with the similarity that others must reach (`bound`: the threshold, or that of its k-th best in a
+    block of its own cell; none: NULL), the cells that may hold such (`asked`, bits) and their areas (`areas`)."""
     pivots, radius, sizes, width = cells.pivots, cells.radius, cells.sizes, cells.width
-    columns = [c for c in bounded.columns if c not in ("bound", "cell")]
-
-    def asks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if not f.empty:
-                apart = angle(matrix(f, width) @ pivots.T)
-                reach = angle(f["bound"].fillna(-1.0).to_numpy() - SLACK)
-                near = (apart - radius <= reach[:, None] + 1e-9) & (sizes > 0)
-                near[np.arange(len(f)), f["cell"].to_numpy()] = False
-                yield f[columns].assign(cell=[np.flatnonzero(r).astype(np.int32) for r in near])
+    holds = np.zeros((len(sizes), 1 + max(a for c in areas for a in c)), np.float32)
+    for c, mine in enumerate(areas):
+        holds[c, mine] = 1
+    blocks = -(-np.maximum(sizes, 1) // OWN_BLOCK)
+
+    def asks(f: pd.DataFrame) -> pd.DataFrame:
+        v = matrix(f, width)
+        wanted = f["asks"].to_numpy(bool)
+        bound = np.full(len(f), np.nan if threshold is None else threshold)
+        if threshold is None and len(f) > k:
+            near = v @ v.T
+            np.fill_diagonal(near, -np.inf)
+            bound = np.partition(near, -k, axis=1)[:, -k]
+        reach = angle(np.nan_to_num(bound, nan=-1.0) - SLACK)
+        need = (angle(v @ pivots.T) - radius <= reach[:, None] + 1e-9) & (sizes > 0)
+        need[:, f["cell"].iloc[0]] = True
+        f = f.assign(bound=bound, asked=[r.tobytes() for r in np.packbits(need, axis=1)], areas=[np.flatnonzero(r) for r in need.astype(np.float32) @ holds > 0])
+        return f[wanted].drop(columns=["asks", "own"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.members.schema.fields if f.name != "asks")
+    own = F.pmod(F.xxhash64("head", F.lit(1)), F.element_at(F.lit(blocks.tolist()), F.col("cell") + 1))
+    dealt = in_areas(cells, areas).withColumn("own", own).groupBy("cell", "own")
+    return stage(dealt.applyInPandas(asks, f"{fields}, area int, bound double, asked binary, areas array<int>"), "neighbour-asking")
+
+
+def in_areas(cells: Cells, areas: list[list[int]]) -> DataFrame:
+    """The members with their area; blocks of a cell are dealt by a digest of the head."""
+    spark = cells.members.sparkSession
+    listed = F.broadcast(spark.createDataFrame(list(enumerate(areas)), "cell int, of_cell array<int>"))  # one row per cell
+    of = F.element_at("of_cell", F.pmod(F.xxhash64("head"), F.size("of_cell")).cast("int") + 1)
+    return cells.members.join(listed, "cell").withColumn("area", of).drop("of_cell")
+
+
+def compared(cells: Cells, areas: list[list[int]], asking: DataFrame, k: int | None) -> DataFrame:
+    """The k best (similarity falling, head rising; all for None) of at least its bound for each asking vector in each area it
+    asks. Areas meet in pairs, one of askers and one of members, so a vector is sent once per pair, not per cell."""
+    spark, width, n_cells = asking.sparkSession, cells.width, len(cells.sizes)
+    vector = [c for c in ("at", "v") if c in cells.members.columns]
+    asked = asking.withColumn("to", F.explode("areas"))
+    met = sorted((r["area"], r["to"]) for r in asked.select("area", "to").distinct().collect())  # pairs of areas
+    pairs = lambda: F.broadcast(spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(met)], "area int, to int, pair int"))
+    parts = max(1, min(PAIR_TASKS, 2 * len(met)))
+    left = asked.join(pairs(), ["area", "to"]).select("pair", "head", *vector, "cell", "bound", "asked")
+    right = in_areas(cells, areas).withColumnRenamed("area", "to").join(pairs(), "to").select("pair", "head", *vector, "cell")
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bounded.select(columns).schema.fields)
-    asked = stage(bounded.mapInPandas(asks, f"{fields}, cell array<int>"), "neighbour-asked").withColumn("cell", F.explode("cell"))
-    return asked, {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per cell
+    def best(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or m.empty:
+            return pd.DataFrame({"head": [], "other": [], "similarity": []}).astype({"head": str, "other": str, "similarity": float})
+        q, m = q.sort_values("cell"), m.sort_values("cell")  # neighbours on both sides ask and hold the same cells
+        heads, names = q["head"].to_numpy().astype(str), m["head"].to_numpy().astype(str)
+        rank = np.argsort(np.argsort(names))
+        itself = pd.Index(names).get_indexer(heads)
+        need = np.unpackbits(np.frombuffer(b"".join(q["asked"]), np.uint8).reshape(len(q), -1), axis=1, count=n_cells).astype(bool)
+        of, low = m["cell"].to_numpy(), q["bound"].fillna(-np.inf).to_numpy(float)
+        x, y = matrix(q, width), matrix(m, width)
+        found = []
+        step = max(16, min(256, SCORES // len(m)))
+        for i in range(0, len(q), step):
+            at = np.flatnonzero(need[i : i + step].any(axis=0)[of])
+            if not len(at):
+                continue
+            near = x[i : i + step] @ (y if len(at) == len(m) else y[at]).T
+            place = np.searchsorted(at, itself[i : i + step])
+            same = np.flatnonzero((itself[i : i + step] >= 0) & (at[np.minimum(place, len(at) - 1)] == itself[i : i + step]))
+            near[same, place[same]] = -np.inf
+            least = low[i : i + step] - SLACK
+            open_ = np.flatnonzero(np.isneginf(least))
+            if k is not None and len(open_) and len(at) > k:
+                least[open_] = np.partition(near[open_], -k, axis=1)[:, -k] - SLACK
+            row, col = np.nonzero((near >= least[:, None]) & (near > -np.inf))
+            value = np.round(near[row, col], 6)
+            if k is None:
+                keep = value >= low[i + row]
+            else:
+                order = np.lexsort((rank[at[col]], -value, row))
+                row, col, value = row[order], col[order], value[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            found.append((heads[i + row[keep]], names[at[col[keep]]], value[keep]))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, str), np.zeros(0, str), np.zeros(0)]
+        return pd.DataFrame(dict(zip(("head", "other", "similarity"), columns, strict=True)))
+
+    dealt = lambda df: df.repartition(parts, "pair").groupBy("pair")
+    return dealt(left).cogroup(dealt(right)).applyInPandas(best, PAIRS)
+
+
+def class_neighbours(cells: Cells, k: int, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(k best classes of every asking class as head, other, similarity; the asking classes with the cells they asked)."""
+    order = W.partitionBy("head").orderBy(F.desc("similarity"), "other")
+    areas = areas_of(cells, block)
+    asking = asking_areas(cells, areas, k, None)
+    found = compared(cells, areas, asking, k)
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("head", "other", "similarity"), asking
 
 
-def class_neighbours(cells: Cells, k: int, block: int = BLOCK) -> tuple[DataFrame, dict[int, int]]:
-    """(k best classes of every asking class as head, other, similarity; how many vectors had to ask each further cell)."""
-    order = W.partitionBy("head").orderBy(F.desc("similarity"), "other")
-    top = lambda df: df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    asking, counts = own_cells(cells)
-    found = stage(compared(cells, asking, counts, k, block=block), "neighbour-own")
-    bound = top(found).groupBy("head").agg(F.when(F.count("*") == k, F.min("similarity")).alias("bound"))
-    asked, by_cell = asked_cells(cells, asking.join(bound, "head", "left"))
-    if by_cell:
-        found = found.unionByName(compared(cells, asked, by_cell, k, block=block))
-    return top(found).select("head", "other", "similarity"), by_cell
+def classes_above(cells: Cells, threshold: float, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All (head, other, similarity) of at least `threshold`, both ways round, and the asking classes with the cells they asked."""
+    areas = areas_of(cells, block)
+    asking = asking_areas(cells, areas, None, threshold)
+    return compared(cells, areas, asking, None), asking
 
 
-def classes_above(cells: Cells, threshold: float, block: int = BLOCK) -> tuple[DataFrame, dict[int, int]]:
-    """All (head, other, similarity) of at least `threshold`, both ways round, and how many vectors asked each further cell."""
-    asking, counts = own_cells(cells)
-    found = compared(cells, asking, counts, None, threshold, block)
-    asked, by_cell = asked_cells(cells, asking.withColumn("bound", F.lit(threshold)))
-    if by_cell:
-        found = found.unionByName(compared(cells, asked, by_cell, None, threshold, block))
-    return found, by_cell
+def scored_share(cells: Cells, asking: DataFrame) -> float:
+    """Pairs of an asking class and a member of a cell it asks, as a share of all ordered pairs of classes, where all ask."""
+    n, sizes = int(cells.sizes.sum()), cells.sizes
 
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"n": [int(np.unpackbits(np.frombuffer(b, np.uint8), count=len(sizes)) @ sizes) for b in f["asked"]]})
 
-def scored_share(cells: Cells, by_cell: dict[int, int]) -> float:
-    """Compared pairs as a share of all ordered pairs of classes, where all classes ask."""
-    n = int(cells.sizes.sum())
-    return (int((cells.sizes**2).sum()) + sum(asking * int(cells.sizes[c]) for c, asking in by_cell.items())) / max(1, n * n)
+    return (asking.select("asked").mapInPandas(pairs, "n bigint").agg(F.sum("n")).first()[0] or 0) / max(1, n * n)
 
 
 def unit_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +236,7 @@ def unit_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known.select("product_id", "class"), stage(classes, "neighbour-classes")
 
 
-def nearest_products(df: DataFrame, k: int = 10, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+def nearest_products(df: DataFrame, k: int = 10, pivots: int = PIVOTS, block: int | None = None) -> DataFrame:
     """(product_id, partner_id, similarity, place): the k products of largest cosine for every product; ties by product id.
 
     A partner's class has less than k classes before it in the order (similarity, first member), and within a class members

@@ -170,6 +170,19 @@ def test_pairs_above_a_threshold(spark):
     assert {tuple(r) for r in found.collect()} == wanted
 
 
+def test_vectors_are_sent_once_per_area(spark):
+    """On vectors without structure every cell is asked; a vector still goes to each area once, however many cells that has."""
+    rng = np.random.default_rng(3)
+    rows = [(f"p{i:04d}", rng.normal(size=8).tolist()) for i in range(900)]
+    cells = N.cells_of(N.unit_classes(spark.createDataFrame(rows, "product_id string, embedding array<double>"))[1])
+    areas = N.areas_of(cells, 300)
+    n_areas = 1 + max(a for mine in areas for a in mine)
+    asking = N.asking_areas(cells, areas, 5, None)
+    sent = asking.agg(F.count("*").alias("n"), F.sum(F.size("areas")).alias("sent")).first()
+    assert len(areas) == 30 and 3 <= n_areas <= 6 and sent["n"] == 900 and sent["sent"] <= 900 * n_areas
+    assert max(N.in_areas(cells, areas).groupBy("area").count().toPandas()["count"]) <= 450
+
+
 # --- co-purchase pairs ---------------------------------------------------------------------
 def test_pair_table_reads_every_pair_once(spark):
     import itertools
