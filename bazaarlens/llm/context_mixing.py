@@ -12,8 +12,9 @@ equal segments that numpy advances side by side, bit by bit, in bounded memory.
 
 What is gathered from the corpus: symbol counts, word counts (a table as large as the vocabulary, never on the driver) and
 context counts, pre-summed by every task into slots. The context tables have a fixed number of slots (`TABLES`), so the
-model that travels to the tasks is bounded while its counts cover every training row. Only the mixer's starting weights are
-fitted on a bounded sample (`START_TEXTS`), each text without its own bit in the counts.
+model that travels to the tasks is bounded while its counts cover every training row. The mixer's starting weights are fitted on
+every bit of every training row, each without itself in the counts: a second pass counts how often each combination of gate,
+rounded log-odds (`LEVELS`) and bit occurs, a table of fixed size, and logistic regression runs on that table.
 
 The base score needs the count of every token. The most frequent words (`COMMON`, a documented bound) travel with the tasks;
 all others meet the word counts in a join, whose largest key is no more frequent than the last common word.
@@ -47,8 +48,8 @@ GATES = (len(EVIDENCE) + 1) ** len(GATED)
 COMMON = 200_000
 #: Bits of a segment, bytes of a slice.
 SEGMENT, SLICE = 1024, 1 << 19
-#: Bounds of the sample from which the mixer's starting weights are fitted: texts and characters of each.
-START_TEXTS, START_CHARS = 100, 8000
+#: Log-odds are rounded to this many whole numbers around 0 where starting weights are fitted.
+LEVELS = 19
 END = 256
 PRIOR, RATE, REFINE_RATE = 0.4, 0.01, 0.002
 
@@ -161,22 +162,59 @@ def gate_of(classes: list[np.ndarray]) -> np.ndarray:
     return gate
 
 
-def starting_weights(code: Code, seen: list[np.ndarray], ones: list[np.ndarray], texts: list[str], rounds: int = 80) -> np.ndarray:
-    """Weights of every gate, fitted by gradient steps on texts whose own bit is taken out of the counts it meets."""
-    start = np.full((GATES, len(TABLES)), 1 / len(TABLES))
-    if not texts:
-        return start
-    b = spelled(code, pc.ascii_lower(C.as_array(pa.array(texts, pa.large_string()))))
-    less = [np.maximum(n[s] - 1, 0) for n, s in zip(seen, b.slots, strict=True)]
-    x = [log_odds(n, np.clip(o[s] - b.bit, 0, n)) for n, o, s in zip(less, ones, b.slots, strict=True)]
-    gate = gate_of([evidence_of(less[k]) for k in GATED])
-    each = np.maximum(np.bincount(gate, minlength=GATES), 50)
+def combination_codes(seen: list[np.ndarray], ones: list[np.ndarray]) -> list[np.ndarray]:
+    """Per predictor, at 2 * slot + bit: its share of the number of a combination (gate, rounded log-odds, bit), where the bit
+    itself is taken out of the slot's counts. The shares of all predictors add up to the number."""
+    codes, gate_step = [], GATES
+    for k, (n, o) in enumerate(zip(seen, ones, strict=True)):
+        less = np.maximum(n - 1, 0)
+        code = np.empty(2 * len(n), np.int32)
+        if k in GATED:
+            gate_step //= len(EVIDENCE) + 1
+        for bit in (0, 1):
+            odds = log_odds(less, np.clip(o - bit, 0, less))
+            level = np.rint(np.clip(odds, -(LEVELS // 2), LEVELS // 2)).astype(np.int32) + LEVELS // 2
+            code[bit::2] = level * (2 * LEVELS**k) + (bit if k == 0 else 0)
+            if k in GATED:
+                code[bit::2] += evidence_of(less).astype(np.int32) * (gate_step * 2 * LEVELS ** len(TABLES))
+        codes.append(code)
+    return codes
+
+
+def combination_counts(code: Code, codes: list[np.ndarray], text: pa.Array) -> np.ndarray:
+    """How often every combination occurs in a lower-cased text array."""
+    b = spelled(code, text)
+    number = np.zeros(len(b.bit), np.int32)
+    for own, slots in zip(codes, b.slots, strict=True):
+        number += own.take(slots * np.uint32(2) + b.bit)
+    return np.bincount(number, minlength=GATES * 2 * LEVELS ** len(TABLES))
+
+
+def fitted_weights(counts: np.ndarray, rounds: int = 25) -> np.ndarray:
+    """Weights of every gate by Newton steps on the logistic loss over counted combinations. Each gate is drawn to equal
+    weights as by 50 bits, so that one without evidence keeps them."""
+    weights = prior = np.full((GATES, len(TABLES)), 1 / len(TABLES))
+    number = np.flatnonzero(counts)
+    n, rest = counts[number].astype(float), number // 2
+    x = np.empty((len(number), len(TABLES)))
+    for k in range(len(TABLES)):
+        x[:, k] = rest % LEVELS - LEVELS // 2
+        rest = rest // LEVELS
+    by_gate = lambda v: np.bincount(rest, weights=v, minlength=GATES)
     for _ in range(rounds):
-        w = start[gate]
-        err = b.bit - 1 / (1 + np.exp(-np.clip(sum(w[:, k] * x[k] for k in range(len(x))), -12, 12)))
-        for k in range(len(x)):
-            start[:, k] += 0.4 * np.bincount(gate, weights=err * x[k], minlength=GATES) / each
-    return start
+        p = 1 / (1 + np.exp(-np.clip((weights[rest] * x).sum(axis=1), -30, 30)))
+        miss, spread = n * (number % 2 - p), n * np.maximum(p * (1 - p), 1e-6)
+        slope = np.stack([by_gate(miss * x[:, k]) for k in range(len(TABLES))], axis=1) - 50 * (weights - prior)
+        bend = np.stack([by_gate(spread * x[:, i] * x[:, j]) for i in range(len(TABLES)) for j in range(len(TABLES))], axis=1)
+        step = np.linalg.solve(bend.reshape(GATES, len(TABLES), len(TABLES)) + 50 * np.eye(len(TABLES)), slope[:, :, None])[:, :, 0]
+        weights = weights + np.clip(step, -0.3, 0.3)
+    return weights
+
+
+def starting_weights(code: Code, seen: list[np.ndarray], ones: list[np.ndarray], texts: list[str]) -> np.ndarray:
+    """The weights fitted on texts at hand."""
+    text = pc.ascii_lower(C.as_array(pa.array(texts, pa.large_string())))
+    return fitted_weights(combination_counts(code, combination_codes(seen, ones), text))
 
 
 def mixed_bits(model: Model, text: pa.Array) -> np.ndarray:
@@ -272,6 +310,27 @@ def context_counts(docs: DataFrame, code: Code) -> DataFrame:
     return docs.select("text").mapInArrow(run, "slot bigint, seen bigint, ones bigint").groupBy("slot").agg(F.sum("seen").alias("seen"), F.sum("ones").alias("ones"))
 
 
+def combinations(docs: DataFrame, code: Code, codes: list[np.ndarray]) -> np.ndarray:
+    """Counts of every combination over all texts; each task sends a combination once."""
+    shared = docs.sparkSession.sparkContext.broadcast((code, codes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, codes = shared.value
+        counts = np.zeros(GATES * 2 * LEVELS ** len(TABLES), np.int64)
+        for b in batches:
+            text = pc.ascii_lower(C.as_array(b.column(0)))
+            for i, j in C.slices(text, SLICE):
+                counts += combination_counts(code, codes, text.slice(i, j - i))
+        number = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(counts[number])], ["number", "n"])
+
+    got = docs.select("text").mapInArrow(run, "number bigint, n bigint").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(GATES * 2 * LEVELS ** len(TABLES), np.int64)
+    counts[got["number"].to_numpy()] = got["n"].to_numpy()
+    shared.destroy()
+    return counts
+
+
 @dataclass
 class Corpus:
     """Counts of the training rows: the vocabulary stays a table."""
@@ -300,8 +359,8 @@ def learned(docs: DataFrame) -> Corpus:
         own = slot >> 24 == k
         place = slot[own] & ((1 << 24) - 1)
         seen[k][place], ones[k][place] = n[own], n1[own]
-    few = docs.where(F.length("text").between(1, START_CHARS)).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(START_TEXTS)
-    weights = starting_weights(code, seen, ones, [r["text"] for r in few.select("text").collect()])
+    del got, slot, n, n1
+    weights = fitted_weights(combinations(docs, code, combination_codes(seen, ones)))
     model = Model(code, [log_odds(n, o) for n, o in zip(seen, ones, strict=True)], [evidence_of(n) for n in seen], weights)
     ends = int(symbols[END])
     return Corpus(words, ends, int(total[0]) + ends, int(total[1]) + (ends > 0), common, model)

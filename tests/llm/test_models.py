@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from bazaarlens.llm import common as C
@@ -166,3 +167,25 @@ def test_rare_words_are_joined_exactly(spark, messy, nothing, monkeypatch):
     empty = context_mixing.learned(nothing)
     assert context_mixing.scored(nothing, empty, F.lit(False)).count() == 0
     assert context_mixing.scored(messy, empty, F.lit(False)).count() == messy.count()
+
+
+def test_start_weights_are_fitted_on_every_row(spark):
+    """More rows than the old sample held, and texts longer than it took: all their bits are counted, each without itself."""
+    M = context_mixing
+    texts = [f"row {i} says so" for i in range(300)] + ["ab " * 4000, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    array = pc.ascii_lower(C.as_array(pa.array(texts, pa.large_string())))
+    code = M.Code(np.append(np.bincount(C.raw_bytes(array)[0], minlength=M.END), len(texts)))
+    bits = M.spelled(code, array)
+    seen = [np.bincount(s, minlength=1 << log) for s, (_, log) in zip(bits.slots, M.TABLES, strict=True)]
+    ones = [np.bincount(s, weights=bits.bit, minlength=1 << log).astype(np.int64) for s, (_, log) in zip(bits.slots, M.TABLES, strict=True)]
+    codes = M.combination_codes(seen, ones)
+    counts = M.combinations(docs, code, codes)
+    assert counts.sum() == len(bits.bit) and counts[1::2].sum() == bits.bit.sum()
+    assert np.array_equal(counts, M.combination_counts(code, codes, array))
+    # the gate and the bit's own log-odds, counted without it, can be read back from the number
+    less = [seen[k][bits.slots[k]] - 1 for k in range(3)]
+    gates = M.gate_of([M.evidence_of(less[k]) for k in M.GATED])
+    assert np.array_equal(np.bincount(gates, minlength=M.GATES), counts.reshape(M.GATES, -1).sum(axis=1))
+    learned = M.learned(docs).model.weights
+    assert np.allclose(learned, M.fitted_weights(counts)) and np.isfinite(learned).all()
