@@ -447,3 +447,53 @@ def test_small_baskets_are_listed_by_one_grouping(spark):
     both = spark.createDataFrame([*data, *((None, f"q{i}", i) for i in range(4))], "order_id string, product_id string, order_item_id int")
     got = {(r["order_id"], r["part"]): r["products"] for r in B.basket_lists(both, 4).collect()}
     assert got == {("a", 0): ["p1", "p2"], ("b", 0): [], (None, 0): ["p0", "p3", "q0", "q1"], (None, 1): ["q2", "q3"]}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_facts_without_payments_have_the_same_rows(spark, root):
+    from bazaarlens.queries.q03_star import Warehouse
+    from bazaarlens.sources.market import Market
+
+    w = Warehouse(Market(spark, root))
+    bare = w.unpaid_lines
+    assert set(w.fact_lines.columns) - set(bare.columns) == {"payment_type", "payment_installments", "payment_value"}
+    whole = w.fact_lines.select(*bare.columns)
+    assert bare.count() > 0 and bare.exceptAll(whole).isEmpty() and whole.exceptAll(bare).isEmpty()
+
+
+def test_first_item_moves_only_its_columns(spark):
+    from bazaarlens.operators import star
+
+    rows = [("1", 2, "b", "s"), ("1", 1, "z", "s"), ("1", 1, "y", "t"), ("2", None, "c", "s"), ("2", 5, "d", None), ("3", None, "e", "s"), (None, 1, "f", "s")]
+    first = star.first_item(spark.createDataFrame(rows, "order_id string, order_item_id int, product_id string, seller_id string"))
+    assert {tuple(r) for r in first.collect()} == {("1", "y"), ("2", "d"), ("3", "e"), (None, "f")}
+    assert "seller_id" not in plan_of(first).split("Optimized Logical Plan")[1].split("LogicalRDD")[0]
+
+
+def test_keys_are_grouped_as_they_are(spark):
+    from bazaarlens.operators import contract_checks as K
+    from bazaarlens.sources.contracts import contracts
+
+    contract = contracts()["stg_order_items"]
+    rows = [("1", 1), ("1", 1), ("1", 2), (None, 1), (None, 1), ("2", None), ("2", None), ("1", 1)]
+    found = K.check_key(contract, "PRIMARY KEY", ["order_id", "order_item_id"], spark.createDataFrame(rows, "order_id string, order_item_id int"), {})
+    assert [(r["n_rows"], r["n_faults"]) for r in found.collect()] == [(8, 2)]
+    assert "sha2" not in plan_of(found)
+
+
+def test_file_names_are_not_cut_out_of_paths_row_by_row(spark, tmp_path):
+    from bazaarlens.operators import clustering
+    from bazaarlens.streaming import views
+
+    df = spark.range(500).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    stats = clustering.write_clustered(df, str(tmp_path / "c"), ["a", "b"], "a", 100)
+    names = {p.name for p in (tmp_path / "c/rows").iterdir() if p.name.startswith("part-")}
+    assert {r["file"] for r in stats.collect()} == names and stats.agg(F.sum("n_rows")).first()[0] == 500
+    parts = views.Parts(str(tmp_path / "p"), df.schema)
+    parts.write(df.withColumn("part", F.when(F.col("a") < 100, "2018-01-02").otherwise("none")), 3, ["2018-01-02", "none"])
+    read = parts.with_part(spark)
+    assert {(r["part"], r["count"]) for r in read.groupBy("part").count().collect()} == {("2018-01-02", 100), ("none", 400)}
+    assert read.columns == ["a", "b", "part"] and "regexp_extract" not in plan_of(read)
