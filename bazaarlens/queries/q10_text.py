@@ -65,14 +65,14 @@ lib.add(
 
 @query("llm_extract_batch", "SELECT * FROM x_answers")
 def _(m):
-    return X.extract_batch(X.spread(m.product_texts))
+    return X.extract_batch(m.product_texts)
 
 
 @query("udf_batch_extractor", "SELECT y.product_id, y.title, y.raw_features IS NOT DISTINCT FROM a.answer AS same, y.* EXCLUDE (product_id, title) FROM y_flat y JOIN x_answers a ON y.product_id = a.product_id")
 def _(m):
     """The answers of a caller's function run per batch, validated and flattened; `same` tells whether the built-in extractor
     gives the same answer."""
-    texts = X.spread(m.product_texts)
+    texts = m.product_texts
     own = X.extract_batch(texts).select("product_id", F.col("answer").alias("built_in"))
     given = X.flatten(X.validate(X.extract_batch(texts, X.keyword_answer_of)))
     same = F.col("raw_features").eqNullSafe(F.col("built_in")).alias("same")

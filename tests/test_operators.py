@@ -328,6 +328,37 @@ def test_default_extractor_matches_whole_words(spark):
     assert answers["1"]["keywords"] == ["steel", "hundred", "women", "bottle", "read"] and answers["2"]["keywords"] == []
 
 
+def test_extractors_read_long_texts_to_their_end(spark):
+    import json
+
+    far = "ab " * 500
+    cases = [
+        ("", far + "bottle " * 3 + "Smart Home steel_red"),  # words behind the head only
+        ("x", "wordy" * 300 + " alpha"),  # one word longer than the head
+        ("x", "aaaa bbbb cccc dddd eeee ffff gggg hhhh iiii " + far + "kitchen"),
+        ("strings", "ringed ring " + far + "Black Phones"),
+        ("", "aaaa bbbb cccc dddd eeee ffff gggg " + far + "hhhh last"),
+    ]
+    texts = spark.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate(cases)], "product_id string, title string, description string")
+    built_in = {r["product_id"]: json.loads(r["answer"]) for r in X.extract_batch(texts).collect()}
+    assert built_in == {str(i): json.loads(X.keyword_answer_of(a, b)) for i, (a, b) in enumerate(cases)}
+    assert built_in["0"]["keywords"] == ["bottle", "smart", "home", "steel"] and built_in["0"]["color"] == "Red"
+    assert built_in["1"]["keywords"] == ["wordy" * 300, "alpha"] and built_in["4"]["subcategory"] == "last"
+    assert built_in["3"]["features"] == {"has_bolt": False, "has_gear": False, "has_ring": True}
+
+
+def test_texts_are_not_moved_once_per_product(spark, tmp_path):
+    import bazaarlens.queries  # noqa: F401
+    from bazaarlens.oracle import registry
+
+    spark.range(40).selectExpr("id AS p_partkey", "'Brand#1' AS p_brand", "'red' AS p_name", "'ECONOMY' AS p_type", "1.0D AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(5).selectExpr("id AS doc_id", "repeat('steel ', 9) AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    done = registry.QUERIES["llm_extract_batch"](spark, str(tmp_path))
+    assert done.count() == 40
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan and plan.index("Join") < plan.index("Repartition")  # dealt below the join, not above it
+
+
 def grown(model) -> list[list[tuple]]:
     """The trees of a fitted forest as plain nodes (feature, threshold, left, right, value, gain, rows), by node number."""
     rows = model.stages[-1].toDebugString  # the shape is checked against the node table below
