@@ -215,3 +215,30 @@ def test_parts_of_a_hot_order_are_numbered_across_ranges(spark, monkeypatch):
     hot = [p for n in range(26) for p in parts["hot", n]]
     assert hot == sorted([f"p{i % 900:04d}" for i in range(2500)] + ["p0000"] * 3)
     assert all(len(parts["hot", n]) == 100 for n in range(25)) and all(parts[f"o{i}", 0] == ["x"] for i in range(300))
+
+
+# --- joins of streams -------------------------------------------------------------------
+def test_streams_are_joined_slice_by_slice(spark, tmp_path, monkeypatch):
+    from bazaarlens.oracle import registry
+    from bazaarlens.queries import q12_streams
+    from bazaarlens.sources.market import Market
+
+    day = "CASE WHEN o_orderkey = 5 THEN NULL ELSE TIMESTAMP_NTZ '1995-12-31' + make_dt_interval(CAST(o_orderkey DIV 30 AS INT)) END"
+    orders = spark.range(22, 112).selectExpr("id AS o_orderkey", "1L AS o_custkey", "'F' AS o_orderstatus", "10.5D AS o_totalprice")
+    orders = orders.unionByName(orders.where("o_orderkey = 30")).unionByName(orders.limit(1).withColumn("o_orderkey", F.lit(5)))
+    orders.withColumn("o_orderdate", F.expr(day)).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.range(0, 360).selectExpr("id DIV 3 AS l_orderkey", "CAST(id % 3 AS INT) AS l_linenumber", "1L AS l_partkey", "1L AS l_suppkey", "TIMESTAMP_NTZ '1996-01-01' AS l_shipdate", "1.5D AS l_extendedprice", "0.1D AS l_tax")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    m = Market(spark, str(tmp_path))
+    near = [F.expr(f"CAST(order_id AS BIGINT) % {n} <= 6") for n in (8, 11)]
+    columns = ["order_id", "order_item_id", "payment_sequential", "payment_value"]
+    dated = m.orders.where("order_purchase_timestamp IS NOT NULL").select("order_id")
+    # every row of a repeated order meets the arrivals that each of its rows gives
+    want = dated.join(m.order_items.join(dated, "order_id").where(near[0]), "order_id").join(m.order_payments.join(dated, "order_id").where(near[1]), "order_id")
+    want = sorted(tuple(r) for r in want.select(columns).collect())
+    assert ("22", 0, 1, want[0][3]) in want  # its lines arrive in the year after
+    for items in (1_000_000, 60):
+        monkeypatch.setattr(q12_streams, "SLICE_ITEMS", items)
+        got = registry.QUERIES["stream_join_on_time"](spark, str(tmp_path))
+        assert sorted(tuple(r) for r in got.select(columns).collect()) == want
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 0 and spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
