@@ -6,14 +6,14 @@ linked pairs differ by at most d members, any d + 1 blocks contain one in which
 (band, block, XOR). B is so far above d + 1 that a set has more than d blocks with members but for one in a milliard; then one
 of those agrees, and its empty blocks, which all sets would share, need not be entered. A set is also entered in the band
 below when it may link with sets there. Keys are made from the texts, a class once per task, and shuffled once: within the
-partition of a key, keys of one class only are left out.
+partition of a key, keys of one class only are left out, and keys of the same classes become one.
 
 Equal sets are one class, so copies cost one row each. Among the classes that share a block, every class is paired with one
 central class. A narrow parity sketch, whose Hamming distance is also a lower bound of the symmetric difference, screens the
 pairs. Classes that share a block but are not yet connected are paired and screened as well; all pairs left are verified on
-their shingle codes. That is repeated from the verified links until every two classes that share a block are connected, or
-were screened out, or were verified and do not link. So no link is lost, and a group of near copies costs about one pair a
-member.
+their shingle codes. That is repeated once from the verified links: then every two classes that share a block are connected, or
+were screened out, or were verified and do not link, since links only grow. So no link is lost, and a group of near copies costs
+about one pair a member. Between steps a class goes by the number of its first row.
 
 Shingles are compared by 64-bit hashes and classes by 128-bit hashes of the whole set (their first half while keys are met).
 
@@ -227,13 +227,9 @@ def full_sets(docs: DataFrame, n_words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema)
 
 
-def as_class() -> Column:
-    return F.struct("h1", "h2")
-
-
 def linked_pairs(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The (u, v) class pairs whose sets share at least share/100 of their union."""
-    side = lambda name: sets.select(as_class().alias(name), F.col("n").alias(f"n_{name}"), F.col("codes").alias(f"codes_{name}"))
+    side = lambda name: sets.select(F.col("c").alias(name), F.col("n").alias(f"n_{name}"), F.col("codes").alias(f"codes_{name}"))
     both = F.size(F.array_intersect("codes_u", "codes_v"))
     joined = pairs.select("u", "v").join(side("u"), "u").join(side("v"), "v")
     return joined.where(100 * both >= share * (F.col("n_u") + F.col("n_v") - both)).select("u", "v")
@@ -257,12 +253,13 @@ class Search:
         parts = max(1, (self.rows.agg(F.sum("n_shingles")).first()[0] or 0) // TASK_KEYS)
         entered = keyed(docs, share, n_words).repartition(parts, "key").withColumns({"low": F.min("h1").over(same), "high": F.max("h1").over(same)})
         met = entered.where("low <> high").select("key", "h1").distinct().withColumn("crowd", F.count("*").over(same))
+        # keys met by the same classes are one: pairs of near copies share most of theirs
+        met = met.select(F.xxhash64("crowd", F.bit_xor(F.xxhash64("h1")).over(same)).alias("key"), "h1", "crowd").distinct()
         met = C.staged(met, "met-keys")
-        classes = self.rows.select("h1", "h2").distinct()
-        self.live = C.staged(met.join(classes, "h1").select("key", as_class().alias("c"), "crowd"), "live-keys")
-        alive = self.live.select("c.h1", "c.h2").distinct()
-        first = self.rows.join(alive, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("row").alias("row")).select("row")
-        about = self.rows.join(first, "row").select(as_class().alias("c"), F.col("n_shingles").alias("n"), "narrow", "doc_id")
+        classes = self.rows.groupBy("h1", "h2").agg(F.min("row").alias("c")).select("h1", "c")
+        self.live = C.staged(met.join(classes, "h1").select("key", "c", "crowd"), "live-keys")
+        alive = self.live.select(F.col("c").alias("row")).distinct()
+        about = self.rows.join(alive, "row").select(F.col("row").alias("c"), F.col("n_shingles").alias("n"), "narrow", "doc_id", "h1", "h2")
         self.classes = C.staged(about, "classes")
         self.sets: DataFrame | None = None
 
@@ -278,11 +275,11 @@ class Search:
         return pairs.join(self.side("u"), "u").join(self.side("v"), "v").where(may_link(self.share)).select("u", "v")
 
     def across(self, links: DataFrame) -> DataFrame:
-        """Pairs of classes that share a block but are not connected by `links`; screened."""
+        """All pairs of classes that share a block but are not connected by `links`; screened."""
         roots = components(links).withColumnRenamed("node", "c")
         placed = C.staged(self.live.select("key", "c").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")), "placed")
         split = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        open_ = C.staged(placed.join(split, "key").join(self.classes.drop("doc_id"), "c"), "open-keys")
+        open_ = C.staged(placed.join(split, "key").join(self.classes.select("c", "n", "narrow"), "c"), "open-keys")
         names = ["c", "root", "n", "narrow"]
         u = open_.select(F.col("key").alias("key_u"), *(F.col(x).alias(f"{x}_u") for x in names))
         v = open_.select(F.col("key").alias("key_v"), *(F.col(x).alias(f"{x}_v") for x in names))
@@ -293,15 +290,16 @@ class Search:
         """The pairs that link. The sets of their classes are made from the texts once, class by class."""
         asked = pairs.select(F.col("u").alias("c")).unionAll(pairs.select(F.col("v").alias("c"))).distinct()
         if self.sets is not None:
-            asked = asked.join(self.sets.select(as_class().alias("c")), "c", "left_anti")
-        wanted = C.staged(asked.join(self.classes, "c").select("c.h1", "c.h2", "doc_id"), "wanted")
+            asked = asked.join(self.sets.select("c"), "c", "left_anti")
+        wanted = C.staged(asked.join(self.classes, "c").select("c", "h1", "h2", "doc_id"), "wanted")
         asked_for = wanted.count()
         if asked_for:
             ids = wanted.select(F.col("doc_id").alias("__id")).distinct()
-            if asked_for <= FEW:  # then the texts need no shuffle
-                ids = F.broadcast(ids)
+            marks = wanted.select("c", "h1", "h2")
+            if asked_for <= FEW:  # then neither texts nor sets need a shuffle to be picked out
+                ids, marks = F.broadcast(ids), F.broadcast(marks)
             texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-            found = full_sets(texts, self.n_words).join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+            found = full_sets(texts, self.n_words).join(marks, ["h1", "h2"]).select("c", "n", "codes").dropDuplicates(["c"])
             made = C.staged(found, "sets")
             self.sets = made if self.sets is None else self.sets.unionAll(made)
         return linked_pairs(pairs, self.sets, self.share) if self.sets is not None else pairs
@@ -313,24 +311,21 @@ def links_of(search: Search) -> DataFrame:
     # the pairs that the screened stars leave unconnected are verified in the same pass
     tested = C.staged(stars.unionAll(search.across(stars)), "pairs")
     links = C.staged(search.verified(tested), "links")
-    while True:
-        rest = C.staged(search.across(links).join(tested, ["u", "v"], "left_anti"), "pairs")
-        if rest.isEmpty():
-            return links
-        links = C.staged(links.unionAll(search.verified(rest)), "links")
-        tested = tested.unionAll(rest)
+    # all pairs that the links leave apart: more links can only leave fewer, so these are the last
+    rest = C.staged(search.across(links).join(tested, ["u", "v"], "left_anti"), "pairs")
+    return links if rest.isEmpty() else C.staged(links.unionAll(search.verified(rest)), "links")
 
 
 def near_components(docs: DataFrame, share: int = 90, n_words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable over links) of every row of `docs`."""
     search = Search(docs, share, n_words)
     joined = components(links_of(search))
-    slim = search.rows.select("doc_id", "n_shingles", "h1", "h2")
+    slim = search.rows.select("row", "doc_id", "n_shingles", "h1", "h2")
     # class -> root -> smallest id
-    least = slim.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"))
-    rooted = least.select(as_class().alias("node"), "least_id").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = slim.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("node"))
+    rooted = least.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = rooted.join(low, "root").select("node.h1", "node.h2", "component_id")
+    of_class = rooted.join(low, "root").select("h1", "h2", "component_id")
     filled = slim.where("n_shingles > 0").join(of_class, ["h1", "h2"])
     empty = slim.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     return filled.select("doc_id", "n_shingles", "component_id").unionByName(empty.select("doc_id", "n_shingles", "component_id"))

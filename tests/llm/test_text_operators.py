@@ -297,6 +297,18 @@ def test_components_match_brute_force(spark, share, n_words):
     assert got == {i: (sizes[i], roots[i]) for i in range(len(texts))}
 
 
+def test_keys_of_the_same_classes_are_one(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join([*words, "x"]), " ".join(f"v{i}" for i in range(99)), " ".join(words)]
+    asked = []
+    across = jaccard.Search.across
+    monkeypatch.setattr(jaccard.Search, "across", lambda self, links: asked.append(self.live) or across(self, links))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 0}
+    assert asked[0].count() == 2  # they share very many keys
+    assert len(asked) == 2
+
+
 def test_linked_sets_share_a_key():
     """Any two sets at the limit of similarity meet in a key, whatever their size."""
     r, bounds = np.random.default_rng(2), jaccard.size_bands()
