@@ -288,7 +288,7 @@ class Search:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link. The sets of their classes are made from the texts once, class by class."""
-        asked = pairs.select(F.col("u").alias("c")).unionAll(pairs.select(F.col("v").alias("c"))).distinct()
+        asked = sides = pairs.select(F.col("u").alias("c")).unionAll(pairs.select(F.col("v").alias("c"))).distinct()
         if self.sets is not None:
             asked = asked.join(self.sets.select("c"), "c", "left_anti")
         wanted = C.staged(asked.join(self.classes, "c").select("c", "h1", "h2", "doc_id"), "wanted")
@@ -302,7 +302,11 @@ class Search:
             found = full_sets(texts, self.n_words).join(marks, ["h1", "h2"]).select("c", "n", "codes").dropDuplicates(["c"])
             made = C.staged(found, "sets")
             self.sets = made if self.sets is None else self.sets.unionAll(made)
-        return linked_pairs(pairs, self.sets, self.share) if self.sets is not None else pairs
+        if self.sets is None:
+            return pairs
+        # only the sets of these pairs are shuffled
+        sides = F.broadcast(sides) if sides.count() <= FEW else sides
+        return linked_pairs(pairs, self.sets.join(sides, "c", "left_semi"), self.share)
 
 
 def links_of(search: Search) -> DataFrame:
