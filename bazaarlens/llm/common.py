@@ -52,8 +52,8 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: tuple[int, int], max_chars: int) -> list[tuple[str, int]]:
-    """At most `per_class` texts with label 0 and with label 1, picked by a hash of the id among the rows where `learn` holds.
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: tuple[int, int], max_chars: int) -> DataFrame:
+    """(text, _y) in a fixed order, in one partition: at most `per_class` texts with label 0 and with label 1, picked by a hash of the id among the rows where `learn` holds.
 
     This bounded sample (rows, and texts up to `max_chars`) is the only thing a classifier is fitted on.
     An id that carries both labels counts as 1; NULL labels and ids are left out.
@@ -66,16 +66,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = [known.where(F.col("_y") == k).orderBy(*order).limit(n) for k, n in enumerate(per_class)]
     chosen = picked[0].unionAll(picked[1])
-    rows = (
+    return (
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
         .select("_id", "text", "_y")
         .orderBy(*order, "text")
         .limit(sum(per_class))
-        .collect()
+        .select("text", "_y")
     )
-    return [(r["text"], r["_y"]) for r in rows]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: tuple[int, int], max_chars: int) -> list[tuple[str, int]]:
+    """The rows of `sample_rows` on the driver."""
+    return [(r["text"], r["_y"]) for r in sample_rows(docs, labels, label, learn, per_class, max_chars).collect()]
 
 
 # --- Arrow text as numpy ------------------------------------------------------

@@ -11,8 +11,8 @@ partition of a key, keys of one class only are left out, and keys of the same cl
 Equal sets are one class, so copies cost one row each. Among the classes that share a block, every class is paired with one
 central class. A narrow parity sketch, whose Hamming distance is also a lower bound of the symmetric difference, screens the
 pairs. Classes that share a block but are not yet connected are paired and screened as well; all pairs left are verified on
-their shingle codes. That is repeated once from the verified links: then every two classes that share a block are connected, or
-were screened out, or were verified and do not link, since links only grow. So no link is lost, and a group of near copies costs
+their shingle codes. That is repeated once from the verified links, for the pairs that only screened pairs had connected: then
+every two classes that share a block are connected, or were screened out, or were verified and do not link, since links only grow. So no link is lost, and a group of near copies costs
 about one pair a member. Between steps a class goes by the number of its first row.
 
 Shingles are compared by 64-bit hashes and classes by 128-bit hashes of the whole set (their first half while keys are met).
@@ -262,6 +262,7 @@ class Search:
         about = self.rows.join(alive, "row").select(F.col("row").alias("c"), F.col("n_shingles").alias("n"), "narrow", "doc_id", "h1", "h2")
         self.classes = C.staged(about, "classes")
         self.sets: DataFrame | None = None
+        self.placed: DataFrame | None = None
 
     def side(self, name: str) -> DataFrame:
         return self.classes.select(F.col("c").alias(name), F.col("n").alias(f"n_{name}"), F.col("narrow").alias(f"narrow_{name}"))
@@ -275,15 +276,21 @@ class Search:
         return pairs.join(self.side("u"), "u").join(self.side("v"), "v").where(may_link(self.share)).select("u", "v")
 
     def across(self, links: DataFrame) -> DataFrame:
-        """All pairs of classes that share a block but are not connected by `links`; screened."""
+        """All pairs of classes that share a block but are not connected by `links`; screened. The only pair of a block with two
+        classes is a star and left out. A second call lists only pairs that the first call's links connected: all others that
+        pass the screen were listed by it."""
         roots = components(links).withColumnRenamed("node", "c")
-        placed = C.staged(self.live.select("key", "c").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")), "placed")
-        split = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        open_ = C.staged(placed.join(split, "key").join(self.classes.select("c", "n", "narrow"), "c"), "open-keys")
-        names = ["c", "root", "n", "narrow"]
-        u = open_.select(F.col("key").alias("key_u"), *(F.col(x).alias(f"{x}_u") for x in names))
-        v = open_.select(F.col("key").alias("key_v"), *(F.col(x).alias(f"{x}_v") for x in names))
-        apart = (F.col("key_u") == F.col("key_v")) & (F.col("root_u") != F.col("root_v")) & (F.col("c_u") < F.col("c_v"))
+        first = self.placed is None
+        keys = self.live.where("crowd > 2").withColumn("base", F.lit(0)) if first else self.placed.withColumn("base", F.col("root"))
+        placed = C.staged(keys.select("key", "base", "c").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")), "placed")
+        if first:
+            self.placed = placed
+        same = ["key", "base"]
+        split = placed.groupBy(*same).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select(*same)
+        open_ = placed.join(split, same).join(self.classes.select("c", "n", "narrow"), "c")
+        u, v = (open_.select(*(F.col(x).alias(f"{x}_{side}") for x in [*same, "c", "root", "n", "narrow"])) for side in "uv")
+        meet = (F.col("key_u") == F.col("key_v")) & (F.col("base_u") == F.col("base_v"))
+        apart = meet & (F.col("root_u") != F.col("root_v")) & (F.col("c_u") < F.col("c_v"))
         return u.join(v, apart & may_link(self.share)).select(F.col("c_u").alias("u"), F.col("c_v").alias("v")).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:

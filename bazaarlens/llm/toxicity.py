@@ -4,7 +4,7 @@ Every token enters as the vector of its hashed word beside the mean vector of it
 recurrent units read a window of tokens from both ends, attention pools their states, and a logistic output gives the
 window's probability. All overlapping windows of the whole text are scored; a document's score is its highest window.
 
-Fitting runs in numpy on a bounded sample of labelled rows (`PER_CLASS`, `MAX_CHARS`): one pass in which every window
+Fitting runs in numpy, in one task, on a bounded sample of labelled rows (`PER_CLASS`, `MAX_CHARS`): one pass in which every window
 carries its document's label, then passes on the highest window of each document. Scoring is one scan without a shuffle;
 the weights, under 1 MB whatever the data, travel with the task.
 
@@ -15,6 +15,7 @@ memory follows the longest one. Columns besides `text` are carried along untouch
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -279,5 +280,12 @@ def score(docs: DataFrame, net: Network | None, out: str = "score", slice_bytes:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic") -> Network | None:
-    """Fit on the bounded sample of labelled rows for which the column expression `learn` holds."""
-    return fit(C.labelled_sample(docs, labels, label, learn, PER_CLASS, MAX_CHARS))
+    """Fit on the bounded sample of labelled rows for which the column expression `learn` holds. One task fits, so that neither
+    the sample nor the work is the driver's; only the weights get there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = fit([row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([pa.array([] if net is None else [pickle.dumps(net)], pa.binary())], ["net"])
+
+    got = C.sample_rows(docs, labels, label, learn, PER_CLASS, MAX_CHARS).mapInArrow(run, "net binary").collect()
+    return pickle.loads(got[0]["net"]) if got else None

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.llm import common as C
 from bazaarlens.llm import context_mixing, quality_model, queries, toxicity
@@ -41,6 +42,16 @@ def test_toxicity_held_out(labelled):
     assert np.mean((score >= 0.5) == [y == 1 for _, y in test]) > 0.93
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver's own process sees neither the sample nor the fit; the weights are those of a fit on the same rows."""
+    docs = spark.createDataFrame([(i, f"{'awful nasty' if i % 3 == 0 else 'kind calm'} word{i} text") for i in range(60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) AS toxic")
+    want = toxicity.fit(C.labelled_sample(docs, labels, "toxic", F.lit(True), toxicity.PER_CLASS, toxicity.MAX_CHARS))
+    monkeypatch.setattr(C, "labelled_sample", None)
+    net = toxicity.train(docs, labels, F.lit(True))
+    assert all(np.array_equal(net.p[k], want.p[k]) for k in want.p)
+
+
 def test_toxicity_gradients_are_right():
     net = toxicity.Network(3)
     text = C.as_array(pa.array(["a bad day for you", "good"]))

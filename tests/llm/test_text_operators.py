@@ -309,6 +309,22 @@ def test_keys_of_the_same_classes_are_one(spark, monkeypatch):
     assert len(asked) == 2
 
 
+def test_second_search_lists_only_pairs_that_the_first_connected(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    shared = [f"s{i}" for i in range(60)]
+    # unrelated texts with a common passage meet in blocks of many classes
+    texts = [" ".join([*(f"w{x}" for x in r.integers(0, 10**6, 150)), *shared]) for _ in range(40)]
+    texts += [f"{texts[0]} more", f"{texts[1]} words"]
+    opened = []
+    staged = jaccard.C.staged
+    monkeypatch.setattr(jaccard.C, "staged", lambda df, name: (opened.append(out) if name == "placed" else None, out)[1] if (out := staged(df, name)) else out)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_components(docs, 80, 5).collect()}
+    assert got == {i: {40: 0, 41: 1}.get(i, i) for i in range(42)}
+    first, second = (p.groupBy("key", "base").agg(F.countDistinct("root").alias("n")).where("n > 1").count() for p in opened)
+    assert first > 0 and second == 0  # all pairs of the first search were screened or verified
+
+
 def test_linked_sets_share_a_key():
     """Any two sets at the limit of similarity meet in a key, whatever their size."""
     r, bounds = np.random.default_rng(2), jaccard.size_bands()
