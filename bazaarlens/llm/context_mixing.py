@@ -11,7 +11,7 @@ Mixer and refinement start afresh every `SEGMENT` code bits of a document, conte
 equal segments that numpy advances side by side, bit by bit, in bounded memory.
 
 What is gathered from the corpus: symbol counts, word counts (a table as large as the vocabulary, never on the driver) and
-context counts, pre-summed by every task into slots. The context tables have a fixed number of slots (`TABLES`), so the
+context counts, pre-summed by every task into slots, whose blocks are then added up, packed. The context tables have a fixed number of slots (`TABLES`), so the
 model that travels to the tasks is bounded while its counts cover every training row. The mixer's starting weights are fitted on
 every bit of every training row, each without itself in the counts: a second pass counts how often each combination of gate,
 rounded log-odds (`LEVELS`) and bit occurs, a table of fixed size, and logistic regression runs on that table.
@@ -45,6 +45,8 @@ TABLES = ((3, 18), (4, 20), (0, 21))
 #: Predictors whose evidence (bits seen in the slot, in these classes) chooses the mixing weights.
 GATED, EVIDENCE = (1, 2), (1, 3, 10, 30, 200)
 GATES = (len(EVIDENCE) + 1) ** len(GATED)
+#: Slots of all predictors, and how many of them travel as one packed row.
+SLOTS, BLOCK = sum(1 << log for _, log in TABLES), 1 << 12
 COMMON = 200_000
 #: Bits of a segment, bytes of a slice.
 SEGMENT, SLICE = 1024, 1 << 19
@@ -156,7 +158,7 @@ def log_odds(seen: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def gate_of(classes: list[np.ndarray]) -> np.ndarray:
-    gate = np.zeros(len(classes[0]), np.int32)
+    gate = np.zeros(classes[0].shape, np.int32)
     for c in classes:
         gate = gate * (len(EVIDENCE) + 1) + c
     return gate
@@ -220,35 +222,39 @@ def starting_weights(code: Code, seen: list[np.ndarray], ones: list[np.ndarray],
 def mixed_bits(model: Model, text: pa.Array) -> np.ndarray:
     """Total bits of every row of a lower-cased text array, under the online mixer."""
     b = spelled(model.code, text)
-    odds = [t.take(s) for t, s in zip(model.odds, b.slots, strict=True)]
-    gate = gate_of([model.evidence[k].take(b.slots[k]) for k in GATED])
-    mix = sum(w.take(gate) * v for w, v in zip(model.weights.T.astype(np.float32), odds, strict=True))
-    del gate
-    # every text is filled up to whole segments, which are advanced side by side
+    # every text is filled up to whole segments, which are advanced side by side; what they need is looked up 64 bits at a time
     lanes = -(-b.each // SEGMENT)
     ends, starts = np.cumsum(b.each), (np.cumsum(lanes) - lanes) * SEGMENT
-    spots = list(zip(starts.tolist(), (ends - b.each).tolist(), ends.tolist(), strict=True))
-
-    def in_segments(values: np.ndarray, fill: float) -> np.ndarray:
-        out = np.full(lanes.sum() * SEGMENT, fill, np.float32)
-        for at, first, end in spots:
-            out[at : at + end - first] = values[first:end]
-        return out.reshape(-1, SEGMENT)
-
-    x, mix = [in_segments(v, 0) for v in odds], in_segments(mix, 0)
-    y = in_segments(b.bit, 0.5)  # a filler, sure of neither, teaches nothing
-    del odds
-    shift = np.zeros((len(x), len(y)), np.float32)  # what every segment has added to the gates' weights
-    scale, bias = np.ones(len(y), np.float32), np.zeros(len(y), np.float32)  # refinement of the mixed log-odds
-    one, rate, slow = np.float32(1), np.float32(RATE), np.float32(REFINE_RATE)
+    row = np.repeat(np.arange(len(lanes)), lanes)
+    begins = (ends - b.each)[row] + np.arange(len(row)) * SEGMENT - starts[row]
+    weights = model.weights.T.astype(np.float32)
+    cost = np.empty((len(row), SEGMENT), np.float32)
+    shift = np.zeros((len(TABLES), len(row)), np.float32)  # what every segment has added to the gates' weights
+    scale, bias = np.ones(len(row), np.float32), np.zeros(len(row), np.float32)  # refinement of the mixed log-odds
+    one, rate, slow, most = np.float32(1), np.float32(RATE), np.float32(REFINE_RATE), np.float32(11)
+    step, p = np.empty_like(shift), np.empty(len(row), np.float32)
     for begin in range(0, SEGMENT, 64):
-        *xs, dots, ys = (np.ascontiguousarray(v[:, begin : begin + 64].T) for v in (*x, mix, y))
-        for t, (dot, bit) in enumerate(zip(dots, ys, strict=True)):
-            for d, v in zip(shift, xs, strict=True):
-                dot += d * v[t]
-            p = scale * dot
+        at = begins[:, None] + np.arange(begin, begin + 64)
+        filler = at >= ends[row][:, None]
+        np.minimum(at, len(b.bit) - 1, out=at)
+        slots = [s.take(at) for s in b.slots]
+        odds = [t.take(s) for t, s in zip(model.odds, slots, strict=True)]
+        for v in odds:
+            v[filler] = 0
+        bits = b.bit.take(at).astype(np.float32)
+        bits[filler] = 0.5  # a filler, sure of neither, teaches nothing
+        gate = gate_of([model.evidence[k].take(slots[k]) for k in GATED])
+        dots = np.ascontiguousarray(sum(w.take(gate) * v for w, v in zip(weights, odds, strict=True)).T)
+        xs, ys = np.stack(odds).transpose(2, 0, 1).copy(), np.ascontiguousarray(bits.T)
+        del at, filler, slots, odds, bits, gate
+        for x, dot, bit in zip(xs, dots, ys, strict=True):
+            np.multiply(shift, x, out=step)
+            for d in step:
+                dot += d
+            np.multiply(scale, dot, out=p)
             p += bias
-            np.clip(p, -11, 11, out=p)
+            np.minimum(p, most, out=p)
+            np.maximum(p, -most, out=p)
             np.negative(p, out=p)
             np.exp(p, out=p)
             p += one
@@ -259,11 +265,12 @@ def mixed_bits(model: Model, text: pa.Array) -> np.ndarray:
             bias += miss
             scale += miss * dot
             miss *= rate / slow
-            for d, v in zip(shift, xs, strict=True):
-                d += miss * v[t]
-        y[:, begin : begin + 64] = ys.T
-    cost = np.log2(one - y).ravel()
-    return np.array([-cost[at : at + end - first].sum(dtype=np.float64) for at, first, end in spots])
+            np.multiply(x, miss, out=step)
+            shift += step
+        cost[:, begin : begin + 64] = ys.T
+    np.subtract(one, cost, out=cost)
+    cost = np.log2(cost, out=cost).ravel()
+    return np.array([-cost[at : at + n].sum(dtype=np.float64) for at, n in zip(starts.tolist(), b.each.tolist(), strict=True)])
 
 
 # --- what is gathered from the corpus ------------------------------------------
@@ -287,27 +294,49 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word", "symbol").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as their bytes by significance, compressed: mostly small numbers take about a byte each."""
+    return pa.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T), codec="lz4_raw", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="lz4_raw"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).ravel()
+
+
 def context_counts(docs: DataFrame, code: Code) -> DataFrame:
-    """(predictor, slot, bits seen, ones among them), summed over all texts; each task sends a slot once."""
+    """(block, counts): per `BLOCK` neighbouring slots of all predictors in turn, how often each was met with bit 0 and bit 1, summed
+    over all texts. Each task sends a block once, packed, and a block is summed as it streams in, so that neither side holds
+    the slots as rows."""
+    cells, kind = 2 * BLOCK, "block int, counts binary"
+
+    def batch(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([packed(c) for _, c in found], pa.binary())], ["block", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(2 << log, np.int64) for _, log in TABLES]
+        counts = np.zeros(2 * SLOTS, np.int64)
+        own = np.split(counts, np.cumsum([2 << log for _, log in TABLES])[:-1])
         for b in batches:
             text = pc.ascii_lower(C.as_array(b.column(0)))
             for i, j in C.slices(text, SLICE):
                 bits = spelled(code, text.slice(i, j - i))
-                for k, (_, log) in enumerate(TABLES):
-                    counts[k] += np.bincount(bits.slots[k] * np.uint32(2) + bits.bit, minlength=2 << log)
-        for k in range(len(TABLES)):
-            ones = counts[k][1::2]
-            seen = counts[k][::2] + ones
-            slot = np.flatnonzero(seen)
-            for part in np.array_split(slot, max(1, len(slot) >> 16)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part + (k << 24), pa.int64()), pa.array(seen[part]), pa.array(ones[part])], ["slot", "seen", "ones"]
-                )
+                for c, slots, (_, log) in zip(own, bits.slots, TABLES, strict=True):
+                    c += np.bincount(slots * np.uint32(2) + bits.bit, minlength=2 << log)
+        for k in range(0, len(counts) // cells, 64):
+            found = [(i, c) for i, c in enumerate(counts[k * cells : (k + 64) * cells].reshape(-1, cells), k) if c.any()]
+            if found:
+                yield batch(found)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                one = unpacked(data.as_py(), cells)
+                sums[k] = sums[k] + one if k in sums else one
+        if sums:
+            yield batch(sorted(sums.items()))
 
-    return docs.select("text").mapInArrow(run, "slot bigint, seen bigint, ones bigint").groupBy("slot").agg(F.sum("seen").alias("seen"), F.sum("ones").alias("ones"))
+    return docs.select("text").mapInArrow(run, kind).repartition("block").mapInArrow(total, kind)
 
 
 def combinations(docs: DataFrame, code: Code, codes: list[np.ndarray]) -> np.ndarray:
@@ -344,22 +373,20 @@ class Corpus:
 
 
 def learned(docs: DataFrame) -> Corpus:
-    counts = C.staged(token_counts(docs), "token-counts")
+    tokens = C.staged(token_counts(docs), "token-counts")
     symbols = np.zeros(END + 1, np.int64)
-    for r in counts.where("word IS NULL").select("symbol", "n").collect():
+    for r in tokens.where("word IS NULL").select("symbol", "n").collect():
         symbols[r["symbol"]] = r["n"]
-    words = counts.where("word IS NOT NULL").select("word", "n")
+    words = tokens.where("word IS NOT NULL").select("word", "n")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     common = words.orderBy(F.col("n").desc(), "word").limit(COMMON).toArrow()
     code = Code(symbols)
-    seen, ones = ([np.zeros(1 << log, np.int64) for _, log in TABLES] for _ in range(2))
-    got = context_counts(docs, code).toArrow()
-    slot, n, n1 = (got[c].to_numpy() for c in ("slot", "seen", "ones"))
-    for k in range(len(TABLES)):
-        own = slot >> 24 == k
-        place = slot[own] & ((1 << 24) - 1)
-        seen[k][place], ones[k][place] = n[own], n1[own]
-    del got, slot, n, n1
+    counts = np.zeros(2 * SLOTS, np.int64)
+    for block, data in context_counts(docs, code).collect():
+        counts[2 * BLOCK * block : 2 * BLOCK * (block + 1)] = unpacked(data, 2 * BLOCK)
+    own = np.split(counts, np.cumsum([2 << log for _, log in TABLES])[:-1])
+    seen, ones = [c[::2] + c[1::2] for c in own], [c[1::2].copy() for c in own]
+    del counts, own
     weights = fitted_weights(combinations(docs, code, combination_codes(seen, ones)))
     model = Model(code, [log_odds(n, o) for n, o in zip(seen, ones, strict=True)], [evidence_of(n) for n in seen], weights)
     ends = int(symbols[END])

@@ -180,6 +180,23 @@ def test_rare_words_are_joined_exactly(spark, messy, nothing, monkeypatch):
     assert context_mixing.scored(messy, empty, F.lit(False)).count() == messy.count()
 
 
+def test_context_counts_travel_as_packed_blocks(spark):
+    """A row per block of slots instead of a row per slot, with the counts of all texts."""
+    M = context_mixing
+    texts = [f"row {i} says so and {i * i}" for i in range(200)] + ["ab " * 4000, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    array = pc.ascii_lower(C.as_array(pa.array(texts, pa.large_string())))
+    code = M.Code(np.append(np.bincount(C.raw_bytes(array)[0], minlength=M.END), len(texts)))
+    bits = M.spelled(code, array)
+    want = np.concatenate([np.bincount(s * np.uint32(2) + bits.bit, minlength=2 << log) for s, (_, log) in zip(bits.slots, M.TABLES, strict=True)])
+    got, rows = np.zeros(2 * M.SLOTS, np.int64), M.context_counts(docs, code).collect()
+    for r in rows:
+        got[2 * M.BLOCK * r["block"] : 2 * M.BLOCK * (r["block"] + 1)] = M.unpacked(r["counts"], 2 * M.BLOCK)
+    assert np.array_equal(got, want) and len(rows) == len({r["block"] for r in rows}) <= M.SLOTS // M.BLOCK
+    large = np.array([0, 1, 255, 256, 2**40, 2**62] * 4)
+    assert np.array_equal(M.unpacked(M.packed(large), len(large)), large)
+
+
 def test_start_weights_are_fitted_on_every_row(spark):
     """More rows than the old sample held, and texts longer than it took: all their bits are counted, each without itself."""
     M = context_mixing
