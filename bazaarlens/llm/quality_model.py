@@ -33,7 +33,7 @@ def gram_slots(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(n, slot of the n-gram that starts at each byte) for every n in GRAMS."""
     h, now = np.zeros(len(data), np.uint32), data.astype(np.uint32)
     for j in range(max(GRAMS)):
-        h[: len(data) - j] += (now[j:] + np.uint32(7)) * np.uint32((0x01000193 ** (j + 1)) & 0xFFFFFFFF)
+        h[: max(0, len(data) - j)] += (now[j:] + np.uint32(7)) * np.uint32((0x01000193 ** (j + 1)) & 0xFFFFFFFF)
         if j + 1 in GRAMS:
             yield j + 1, (h ^ np.uint32(j * 0x3C6EF372 & 0xFFFFFFFF)) * np.uint32(0x9E3779B1) >> SHIFT
 

@@ -217,3 +217,14 @@ def test_start_weights_are_fitted_on_every_row(spark):
     assert np.array_equal(np.bincount(gates, minlength=M.GATES), counts.reshape(M.GATES, -1).sum(axis=1))
     learned = M.learned(docs).model.weights
     assert np.allclose(learned, M.fitted_weights(counts)) and np.isfinite(learned).all()
+
+
+@pytest.mark.parametrize("text", ["", "a", "A.", "Re.", "é", "abcd"])
+def test_quality_takes_texts_shorter_than_a_gram(text):
+    """A text alone in its slice, or in the training sample, may be shorter than the longest n-gram."""
+    slots, share = quality_model.document_features(text)
+    assert len(slots) == len(share)
+    model = quality_model.fit([("good fine text here", 1), (text, 0)])
+    score = quality_model.document_scores(model.frozen(), pa.array([text], pa.large_string()))
+    assert len(score) == 1 and 0 <= score[0] <= 1
+    assert abs(model.probabilities(share @ model.vectors[slots])[1] - score[0]) < 1e-4 or not len(slots)
