@@ -528,3 +528,26 @@ def test_file_names_are_not_cut_out_of_paths_row_by_row(spark, tmp_path):
     read = parts.with_part(spark)
     assert {(r["part"], r["count"]) for r in read.groupBy("part").count().collect()} == {("2018-01-02", 100), ("none", 400)}
     assert read.columns == ["a", "b", "part"] and "regexp_extract" not in plan_of(read)
+
+
+def test_forest_over_many_blocks_is_the_one_over_a_single_block(spark, monkeypatch):
+    """Trees grown level by level over blocks are those that a task grows from all rows, and do not depend on partitions."""
+    random.seed(5)
+    data = [(f"o{i}", 1, i % 3, i % 4, float(random.randint(100, 9000)), float(random.randint(10, 500)), 10.0 * (i % 7), float(i % 11), i % 2, 1.0 + (i % 3) * 4 + random.random()) for i in range(900)]
+    lines = spark.createDataFrame(data, "order_id string, order_item_id int, seller_state_enc int, customer_state_enc int, product_weight_g double, product_volume_cm3 double, freight_value double, price double, same_state int, delivery_days double")
+    one = grown(L.fit_forest(lines, numTrees=4, maxDepth=5))
+    monkeypatch.setattr(L.forest, "BLOCK_ROWS", 200)
+    many = grown(L.fit_forest(lines.repartition(5), numTrees=4, maxDepth=5))
+    shape = lambda trees: [[(n[0], n[1], n[2], n[3], n[6]) for n in nodes] for nodes in trees]
+    assert shape(one) == shape(many) and max(len(nodes) for nodes in one) > 15
+    assert all(abs(a[4] - b[4]) < 1e-9 for x, y in zip(one, many) for a, b in zip(x, y))
+
+
+def test_forest_bins_come_from_all_rows(spark):
+    df = spark.range(100_000).selectExpr("cast(id % 5 as double) AS few", "cast(id * id as double) - 100 AS many", "1.0D AS same")
+    few, many, same = L.forest.thresholds_of(df, ["few", "many", "same"])
+    assert few.tolist() == [0.5, 1.5, 2.5, 3.5] and len(same) == 0
+    parts = np.bincount(np.searchsorted(many, [i * i - 100.0 for i in range(100_000)]))
+    assert len(parts) == 32 and parts.min() > 2900 and parts.max() < 3350
+    drawn = np.bincount(L.forest.drawn(np.random.default_rng(1).integers(0, 2**32, 200_000).astype(np.uint32), 3, 42))
+    assert abs(drawn[0] / 200_000 - np.exp(-1)) < 0.005 and abs((drawn * np.arange(len(drawn))).sum() / 200_000 - 1) < 0.01
