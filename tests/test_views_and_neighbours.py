@@ -242,3 +242,19 @@ def test_streams_are_joined_slice_by_slice(spark, tmp_path, monkeypatch):
         got = registry.QUERIES["stream_join_on_time"](spark, str(tmp_path))
         assert sorted(tuple(r) for r in got.select(columns).collect()) == want
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 0 and spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_arrivals_are_deleted_once_joined(spark, root, monkeypatch):
+    """Landed files and old state go while the stream runs, so that its disk does not follow the number of slices."""
+    import glob
+
+    from bazaarlens.oracle import registry
+    from bazaarlens.queries import q12_streams
+    from bazaarlens.sources import io
+
+    monkeypatch.setattr(q12_streams, "SLICE_ITEMS", 2_000)
+    done = registry.QUERIES["stream_join_on_time"](spark, root)
+    assert done.count() > 0
+    top = max(glob.glob(f"{io.work_dir(spark)}/arrivals-*/landing"), key=lambda p: __import__("os").path.getmtime(p))
+    landed = spark.read.parquet(f"{top}/kind=orders").count()
+    assert landed < spark.read.parquet(f"{root}/orders.parquet").count()
