@@ -27,11 +27,19 @@ def _split(lines: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     return sized.where(F.col("basket_size").between(2, limit)), sized.where(F.col("basket_size") > limit)
 
 
-def small_pairs(small: DataFrame) -> DataFrame:
-    """Ordered pairs of different products; every line meets at most `limit` others."""
+def one_way_pairs(small: DataFrame) -> DataFrame:
+    """Distinct pairs of products of a basket, the smaller one first; every line meets at most `limit` others."""
     a = small.select("order_id", F.col("product_id").alias("product_id"))
     b = small.select("order_id", F.col("product_id").alias("partner_id"))
-    return a.join(b, "order_id").where("product_id <> partner_id").select("product_id", "partner_id").distinct()
+    return a.join(b, "order_id").where("product_id < partner_id").select("product_id", "partner_id").distinct()
+
+
+def small_pairs(small: DataFrame) -> DataFrame:
+    """Ordered pairs of different products: made distinct in one direction and turned afterwards, so that half the rows are
+    shuffled."""
+    pairs = one_way_pairs(small)
+    turned = F.struct(F.col("partner_id").alias("product_id"), F.col("product_id").alias("partner_id"))
+    return pairs.select(F.inline(F.array(F.struct("product_id", "partner_id"), turned)))
 
 
 def large_classes(large: DataFrame) -> DataFrame:
@@ -71,15 +79,23 @@ def partner_counts(items: DataFrame, limit: int = PAIR_LIMIT) -> DataFrame:
     return from_small.unionByName(from_large).groupBy("product_id").agg(F.sum("n").alias("n_partners")).where("n_partners > 0")
 
 
-def bought_together(items: DataFrame, candidates: DataFrame) -> DataFrame:
+def bought_together(items: DataFrame, candidates: DataFrame, limit: int = PAIR_LIMIT) -> DataFrame:
     """The candidate rows (product_id, partner_id) whose two products share an order.
 
-    Candidates drive the join: each meets the lines of its product, then one line of the same order,
-    so the work is (lines x candidates per product) and no basket is paired with itself.
+    Candidates look themselves up among the distinct pairs of small baskets. In larger baskets, where pairs are not listed, they
+    meet the lines of their product, then one line of the same order, so that no such basket is paired with itself.
     """
     lines = basket_lines(items)
-    partner = lines.select("order_id", F.col("product_id").alias("partner_id"))
-    return candidates.join(lines, "product_id").join(partner, ["order_id", "partner_id"], "left_semi").select("product_id", "partner_id").distinct()
+    small, large = _split(lines, limit)
+    candidates = candidates.select("product_id", "partner_id")
+    pairs = one_way_pairs(small).select(F.col("product_id").alias("low"), F.col("partner_id").alias("high"))
+    ends = candidates.withColumns({"low": F.least("product_id", "partner_id"), "high": F.greatest("product_id", "partner_id")})
+    from_small = ends.join(pairs, ["low", "high"], "left_semi").select("product_id", "partner_id")
+    large = large.select("order_id", "product_id")
+    partner = large.select("order_id", F.col("product_id").alias("partner_id"))
+    from_large = candidates.join(large, "product_id").join(partner, ["order_id", "partner_id"], "left_semi").select("product_id", "partner_id")
+    itself = candidates.where("product_id = partner_id").join(lines, "product_id", "left_semi")
+    return from_small.unionByName(from_large).unionByName(itself).distinct()
 
 
 def basket_lists(items: DataFrame, chunk: int = 1000) -> DataFrame:

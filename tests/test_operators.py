@@ -551,3 +551,33 @@ def test_forest_bins_come_from_all_rows(spark):
     assert len(parts) == 32 and parts.min() > 2900 and parts.max() < 3350
     drawn = np.bincount(L.forest.drawn(np.random.default_rng(1).integers(0, 2**32, 200_000).astype(np.uint32), 3, 42))
     assert abs(drawn[0] / 200_000 - np.exp(-1)) < 0.005 and abs((drawn * np.arange(len(drawn))).sum() / 200_000 - 1) < 0.01
+
+
+def test_partner_pairs_are_shuffled_in_one_direction(spark):
+    """The pairs of small baskets are made distinct in one direction and turned afterwards."""
+    from bazaarlens.operators import baskets
+
+    items = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "y"), ("b", "z"), ("c", "x"), (None, "z"), ("d", None), ("e", "x"), ("e", "y")], "order_id string, product_id string")
+    got = baskets.partner_counts(items)
+    assert {r["product_id"]: r["n_partners"] for r in got.collect()} == {"x": 1, "y": 2, "z": 1}
+    assert dict(got.dtypes) == {"product_id": "string", "n_partners": "bigint"}
+    lines = baskets.basket_lines(items)
+    plan = baskets.small_pairs(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and "(product_id" in plan.split("Join Inner")[1].split("\n")[0] and " < " in plan.split("Join Inner")[1].split("\n")[0]
+    some_large = baskets.partner_counts(items.unionAll(spark.createDataFrame([("f", "x"), ("f", "y"), ("f", "w")], items.schema)), limit=2)
+    assert {r["product_id"]: r["n_partners"] for r in some_large.collect()} == {"x": 2, "y": 3, "z": 1, "w": 2}
+
+
+def test_candidates_meet_listed_pairs_and_large_baskets(spark):
+    """Candidates are found in small baskets by the distinct pairs, in larger ones by the lines; a product meets itself."""
+    from bazaarlens.operators import baskets
+
+    items = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y"), ("b", "z"), ("b", "w"), ("c", "v"), (None, "v"), ("d", None)], "order_id string, product_id string")
+    asked = [("x", "y"), ("y", "x"), ("y", "x"), ("x", "z"), ("w", "z"), ("v", "x"), ("v", "v"), ("q", "q"), (None, "x"), ("x", None)]
+    candidates = spark.createDataFrame(asked, "product_id string, partner_id string")
+    want = {("x", "y"), ("y", "x"), ("w", "z"), ("v", "v")}
+    for limit in (2, 1000):
+        got = [tuple(r) for r in baskets.bought_together(items, candidates, limit).collect()]
+        assert set(got) == want and len(got) == len(want)
+    plan = baskets.bought_together(items, candidates)._jdf.queryExecution().optimizedPlan().toString()
+    assert "low" in plan and plan.count("LeftSemi") == 3
